@@ -8,7 +8,8 @@ from valuemill.operators.split import fold_column, hash_split, train_test, with_
 from valuemill.operators.stages import (ColumnDropper, DigitsToNumber, HalfEvenRounder, MileageConverter,
                                         NameSplitter, TorqueStandardizer, ValueMapper)
 from valuemill.operators.store import last_wins, lookup_miss, lookup_or_score, upsert
-from valuemill.operators.validate import null_profile, split_valid, validate
+from valuemill.operators.validate import null_profile, split_valid
+from valuemill.operators.validate import validate as validate_rows
 
 __all__ = [
     "OneHotDropFirst", "OneHotDropFirstModel", "IterativeImputer", "IterativeImputerModel",
@@ -17,5 +18,5 @@ __all__ = [
     "PopulationStandardScalerModel", "fold_column", "hash_split", "train_test", "with_folds",
     "ColumnDropper", "DigitsToNumber", "HalfEvenRounder", "MileageConverter", "NameSplitter",
     "TorqueStandardizer", "ValueMapper", "last_wins", "lookup_miss", "lookup_or_score", "upsert",
-    "null_profile", "split_valid", "validate",
+    "null_profile", "split_valid", "validate_rows",
 ]

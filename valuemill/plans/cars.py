@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from valuemill.functions.text import OWNER_RANKS
-from valuemill.operators import validate as V
+import valuemill.operators.validate as V
 from valuemill.session import sf_path
 
 RAW_SCHEMA = T.StructType([

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from valuemill.functions import keys, numeric, text
 from valuemill.operators import (OneHotDropFirst, PopulationStandardScaler, best_by_mean, champion_challenger,
                                  dedupe, hash_split, last_wins, lookup_miss, lookup_or_score, null_profile,
-                                 regression_metrics, top_n, union_by_name, upsert, validate, with_folds)
+                                 regression_metrics, top_n, union_by_name, upsert, validate_rows, with_folds)
 from valuemill.operators.impute import IterativeImputer
 from valuemill.plans import cars
 from valuemill.session import scratch_path, sf_path
@@ -244,7 +244,7 @@ ALLOWED_EVENT_TYPES = ["view", "click", "purchase", "signup"]
 
 
 def event_rules():
-    from valuemill.operators import validate as V
+    import valuemill.operators.validate as V
     return {
         "event_type_not_allowed": V.allowed("event_type", ALLOWED_EVENT_TYPES),
         "value_out_of_range": V.in_range("value", 0.0, 300.0),
@@ -254,7 +254,7 @@ def event_rules():
 
 
 def q_validate_requests(spark, sf_dir):
-    v = validate(_events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props"), event_rules())
+    v = validate_rows(_events(spark, sf_dir).select("event_id", "user_id", "event_type", "value", "props"), event_rules())
     return v.select("event_id", F.concat_ws(";", "errors").alias("errors"), "is_valid")
 
 
