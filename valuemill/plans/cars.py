@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from valuemill.functions.text import OWNER_RANKS
 import valuemill.operators.validate as V
-from valuemill.session import sf_path
+from valuemill.session import sf_path, spread
 
 RAW_SCHEMA = T.StructType([
     T.StructField("name", T.StringType()),
@@ -136,7 +136,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Car-like raw records (one per lineitem row) with key (l_orderkey, l_linenumber),
     label ``selling_price`` and request time ``request_ts``."""
     return spark.sql(f"SELECT {RAW_SELECT_SQL} FROM {{li}} JOIN {{pa}} ON l_partkey = p_partkey",
-                     li=read(spark, sf_dir, "lineitem"), pa=read(spark, sf_dir, "part"))
+                     li=spread(read(spark, sf_dir, "lineitem")), pa=read(spark, sf_dir, "part"))
 
 
 KEY_COLS = ["l_orderkey", "l_linenumber"]

@@ -19,7 +19,7 @@ from valuemill.operators import (OneHotDropFirst, PopulationStandardScaler, best
                                  regression_metrics, top_n, union_by_name, upsert, validate_rows, with_folds)
 from valuemill.operators.impute import IterativeImputer
 from valuemill.plans import cars
-from valuemill.session import scratch_path, sf_path
+from valuemill.session import materialize, scratch_path, sf_path, spread
 from valuemill.sources import (append_requests, decode_binary, read_csv, read_day, read_optional,
                                rename_tail, write_csv)
 
@@ -51,7 +51,7 @@ def q_mileage_kmpl(spark, sf_dir):
 
 
 def q_torque_nm_rpm(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber",
+    li = spread(_t(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber",
                                                F.expr(cars.TORQUE_TEXT_SQL).alias("torque"))
     t = text.torque_parts("torque")
     return li.select("l_orderkey", "l_linenumber", "torque",
@@ -131,7 +131,7 @@ KEY_NUMERICS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def q_row_key_hash(spark, sf_dir):
-    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", *KEY_NUMERICS)
+    li = spread(_t(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", *KEY_NUMERICS)
     k = keys.row_key(li, KEY_NUMERICS, precision=18, scale=6)
     return li.select("l_orderkey", "l_linenumber", k.alias("row_key"), keys.key_hash(k).alias("hashed"))
 
@@ -337,6 +337,7 @@ def q_impute_iterative(spark, sf_dir):
     stages = featurize.feature_pipeline(cars.KEY_COLS + [cars.LABEL, "request_ts"]).getStages()[:7]
     from pyspark.ml import PipelineModel
     clean = PipelineModel(stages=stages).transform(raw).drop("fuel", "seller_type", "transmission", "make")
+    clean = materialize(clean, "parsed")   # parse once; the imputer's passes read the narrow table
     cols = featurize.PROCESSED_HEAD
     model = IterativeImputer(inputCols=cols).fit(clean)
     return model.transform(clean).select(*cars.KEY_COLS, *[R(c).alias(c) for c in cols])
@@ -353,7 +354,7 @@ def q_csv_round_trip(spark, sf_dir):
 
 def q_decode_utf8(spark, sf_dir):
     d = _t(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("text"))
-    return decode_binary(d).select("doc_id", "text", F.length("text").alias("n_chars"))
+    return decode_binary(d).select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def q_rename_tail(spark, sf_dir):

@@ -80,3 +80,43 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin ``df`` over the cores when its scan yields fewer partitions than cores.
+
+    Row-wise work after a scan (regex parsing, hashing, Python batches) runs one task per input
+    split; a table stored as one large row group would otherwise be parsed by a single core. On
+    a cluster reading many splits this returns ``df`` unchanged (no shuffle is added).
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df if have >= want else df.repartition(want)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``valuemill`` importable on every executor (``addPyFile`` of a zip of the package).
+
+    Python code run inside tasks (``mapInPandas`` batches) refers to library functions by module
+    name, so executors need the package on their path; this is the ``--py-files`` mechanism.
+    """
+    import zipfile
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="valuemill-pyfiles-"), "valuemill.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    spark.sparkContext.addPyFile(out)
+    _SHIPPED.add(app)
