@@ -140,3 +140,50 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEY_COLS = ["l_orderkey", "l_linenumber"]
+
+
+# Strict-schema requests derived from lineitem x part (plain SQL for Spark and DuckDB).
+STRICT_SELECT_SQL = """
+  l_orderkey AS l_orderkey,
+  l_linenumber AS l_linenumber,
+  p_brand AS brand,
+  p_type AS model,
+  CAST(year(l_shipdate) AS INT) + l_linenumber * 4 AS year,
+  CAST(l_quantity * 1000 AS BIGINT) - 2000 AS km_driven,
+  CASE p_partkey % 6 WHEN 0 THEN 'diesel' WHEN 1 THEN 'petrol' WHEN 2 THEN 'cng' WHEN 3 THEN 'lpg'
+       WHEN 4 THEN 'electric' ELSE 'hydrogen' END AS fuel,
+  CASE l_suppkey % 4 WHEN 0 THEN 'individual' WHEN 1 THEN 'dealer' WHEN 2 THEN 'trustmark dealer'
+       ELSE 'broker' END AS seller_type,
+  CASE WHEN l_returnflag = 'R' THEN 'automatic' ELSE 'manual' END AS transmission,
+  CASE l_linenumber % 5 WHEN 0 THEN 'first' WHEN 1 THEN 'second' WHEN 2 THEN 'third'
+       WHEN 3 THEN 'fourth & above' ELSE 'test drive' END AS owner,
+  l_discount * 300 - 3 AS mileage,
+  p_size * 250 AS engine,
+  p_retailprice / 10.0 - 95 AS max_power,
+  l_quantity * 5.0 AS torque_peak_power,
+  1500 + l_partkey % 3000 AS torque_peak_speed,
+  l_linenumber + 1 AS seats
+"""
+
+
+def strict_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(f"SELECT {STRICT_SELECT_SQL} FROM {{li}} JOIN {{pa}} ON l_partkey = p_partkey",
+                     li=read(spark, sf_dir, "lineitem"), pa=read(spark, sf_dir, "part"))
+
+
+def strict_rule_sql() -> list[tuple[str, str]]:
+    """The strict rules as (reason, SQL predicate that is TRUE when valid), in rule order."""
+    def values(vs):
+        return ", ".join("'" + v.replace("'", "''") + "'" for v in vs)
+    out = [("fuel_not_allowed", f"fuel IN ({values(STRICT_FUELS)})"),
+           ("seller_type_not_allowed", f"seller_type IN ({values(STRICT_SELLER_TYPES)})"),
+           ("transmission_not_allowed", f"transmission IN ({values(STRICT_TRANSMISSIONS)})"),
+           ("owner_not_allowed", f"owner IN ({values(STRICT_OWNERS)})"),
+           ("brand_missing", "brand IS NOT NULL"),
+           ("model_missing", "model IS NOT NULL")]
+    for c, (lo, hi) in STRICT_RANGES.items():
+        if hi is None:
+            out.append((f"{c}_out_of_range", f"{c} >= {lo}"))
+        else:
+            out.append((f"{c}_out_of_range", f"{c} BETWEEN {lo} AND {hi}"))
+    return out

@@ -162,5 +162,13 @@ SELECT l_orderkey, l_linenumber, round(coalesce(p, a + b * q), 6) AS l_extendedp
     "rename_tail": "SELECT * FROM nation",
 }
 
+_STRICT_ERRORS = "concat_ws(';', " + ", ".join(
+    f"CASE WHEN NOT coalesce({pred}, false) THEN '{reason}' END" for reason, pred in cars.strict_rule_sql()) + ")"
+ORACLE_SQL["validate_strict"] = f"""WITH r AS (SELECT {cars.STRICT_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT l_orderkey, l_linenumber, {_STRICT_ERRORS} AS errors, {_STRICT_ERRORS} = '' AS is_valid FROM r"""
+ORACLE_SQL["row_slice"] = """SELECT o_orderkey, o_totalprice FROM orders
+ORDER BY o_totalprice DESC, o_orderkey LIMIT 5 OFFSET 10"""
+ORACLE_SQL["table_shape"] = "SELECT count(*) AS n_rows, 11 AS n_cols FROM lineitem"
+
 # The streaming lookup returns what the batch lookup returns.
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from valuemill.functions import keys, numeric, text
 from valuemill.operators import (OneHotDropFirst, PopulationStandardScaler, best_by_mean, champion_challenger,
                                  dedupe, hash_split, last_wins, lookup_miss, lookup_or_score, null_profile,
-                                 regression_metrics, top_n, union_by_name, upsert, validate_rows, with_folds)
+                                 regression_metrics, slice_rows, top_n, union_by_name, upsert, validate_rows, with_folds)
 from valuemill.operators.impute import IterativeImputer
 from valuemill.plans import cars
 from valuemill.session import materialize, scratch_path, sf_path, spread
@@ -258,6 +258,22 @@ def q_validate_requests(spark, sf_dir):
     return v.select("event_id", F.concat_ws(";", "errors").alias("errors"), "is_valid")
 
 
+def q_validate_strict(spark, sf_dir):
+    v = validate_rows(cars.strict_requests(spark, sf_dir), cars.strict_rules())
+    return v.select("l_orderkey", "l_linenumber", F.concat_ws(";", "errors").alias("errors"), "is_valid")
+
+
+def q_row_slice(spark, sf_dir):
+    """Rows 11-15 of orders by price (highest first, then key): an explicit order, then offset/limit."""
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return slice_rows(o, [F.col("o_totalprice").desc(), F.col("o_orderkey")], 10, 5)
+
+
+def q_table_shape(spark, sf_dir):
+    li = _t(spark, sf_dir, "lineitem")
+    return li.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(len(li.columns)).alias("n_cols"))
+
+
 NULL_RULES_SQL = {
     "l_quantity": "CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END",
     "l_discount": "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_discount END",
@@ -387,6 +403,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "requests_by_day": q_requests_by_day,
     "yesterday_requests": q_yesterday_requests,
     "validate_requests": q_validate_requests,
+    "validate_strict": q_validate_strict,
+    "row_slice": q_row_slice,
+    "table_shape": q_table_shape,
     "null_profile": q_null_profile,
     "regression_metrics": q_regression_metrics,
     "champion_challenger": q_champion_challenger,
