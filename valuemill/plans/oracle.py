@@ -170,5 +170,13 @@ ORACLE_SQL["row_slice"] = """SELECT o_orderkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 5 OFFSET 10"""
 ORACLE_SQL["table_shape"] = "SELECT count(*) AS n_rows, 11 AS n_cols FROM lineitem"
 
+ORACLE_SQL["store_lookup"] = _REQ + """,
+d AS (SELECT hashed, CAST(ts AS DATE) AS day, avg(value) AS prediction FROM r WHERE ts < TIMESTAMP '""" + CUT + """'
+      GROUP BY 1, 2),
+n AS (SELECT hashed, prediction FROM d QUALIFY row_number() OVER (PARTITION BY hashed ORDER BY day DESC) = 1)
+SELECT q.event_id, q.hashed, n.prediction IS NOT NULL AS hit,
+  round(CASE WHEN n.prediction IS NOT NULL THEN n.prediction ELSE exp(ln(1 + q.value)) END, 6) AS prediction
+FROM q LEFT JOIN n ON q.hashed = n.hashed"""
+
 # The streaming lookup returns what the batch lookup returns.
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]

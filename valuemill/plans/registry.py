@@ -175,6 +175,24 @@ def q_lookup_or_score(spark, sf_dir):
     return out.select("event_id", "hashed", "hit", R("prediction").alias("prediction"))
 
 
+def q_store_lookup(spark, sf_dir):
+    """Merge-on-read store: history loaded as one batch per day (newest batch wins per key), then
+    the later requests are looked up; misses are scored."""
+    from valuemill.sources import KeyedStore
+    ev = _events(spark, sf_dir)
+    cut = F.expr(f"TIMESTAMP_NTZ '{CUT}'")
+    daily = _request_keys(ev.where(F.col("ts") < cut)).groupBy("hashed", F.to_date("ts").alias("day")) \
+        .agg(F.avg("value").alias("prediction"))
+    store = KeyedStore(spark, scratch_path(spark, "keyed-store"), "hashed",
+                       T.StructType([T.StructField("hashed", T.StringType()), T.StructField("prediction", T.DoubleType())]))
+    store.write_batches(daily.withColumn("b", F.datediff("day", F.lit("1970-01-01"))), "b")
+    requests = _request_keys(ev.where(F.col("ts") >= cut)).select("event_id", "hashed", "value")
+    j = store.lookup(requests, "prediction")
+    score = numeric.label_inverse(numeric.label_log("value"), "exp")
+    hit = F.col("_stored").isNotNull()
+    return j.select("event_id", "hashed", hit.alias("hit"), R(F.when(hit, F.col("_stored")).otherwise(score)).alias("prediction"))
+
+
 def q_lookup_miss(spark, sf_dir):
     store, requests = _store_and_requests(spark, sf_dir)
     return lookup_miss(requests, store, "hashed").select("event_id", "hashed", R("value").alias("value"))
@@ -398,6 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_latest": q_upsert_latest,
     "lookup_or_score": q_lookup_or_score,
     "lookup_miss": q_lookup_miss,
+    "store_lookup": q_store_lookup,
     "union_sources": q_union_sources,
     "optional_source": q_optional_source,
     "requests_by_day": q_requests_by_day,

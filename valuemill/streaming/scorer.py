@@ -20,6 +20,7 @@ from valuemill.operators.store import last_wins
 from valuemill.operators.validate import validate
 from valuemill.plans import scoring
 from valuemill.session import scratch_path
+from valuemill.sources.keyed_store import KeyedStore
 
 
 def _run(query_builder, checkpoint: str) -> None:
@@ -50,18 +51,22 @@ def read_store(spark: SparkSession, base: DataFrame, added_path: str | None) ->
 
 def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructType, rules: dict,
                          pipeline: PipelineModel, feature_cols: list[str], model: GBTRegressionModel,
-                         store: DataFrame, out_dir: str, request_id: str, inverse: str = "exp",
-                         max_files_per_trigger: int | None = None) -> dict[str, str]:
-    """Score every request file under ``source_dir``. Returns the output folders:
-    ``results`` (request_id, hashed, hit, prediction), ``rejected`` (request_id, errors),
-    ``store_added`` (new store rows) and ``log`` (requests that were scored)."""
+                         store, out_dir: str, request_id: str, inverse: str = "exp",
+                         max_files_per_trigger: int | None = None, batch_base: int = 0) -> dict[str, str]:
+    """Score every request file under ``source_dir``.
+
+    ``store`` is a ``KeyedStore`` (looked up per micro-batch, so keys scored by an earlier batch
+    hit; misses are written as store batch ``batch_base + batch_id``) or a static DataFrame of
+    (hashed, prediction, ...) rows (misses then go to ``out_dir/store_added``).
+    Returns the output folders: ``results`` (request_id, hashed, hit, prediction), ``rejected``
+    (request_id, errors), ``store_added`` and ``log`` (requests that were scored)."""
     paths = {k: f"{out_dir}/{k}" for k in ("results", "rejected", "store_added", "log", "_checkpoint")}
     src = spark.readStream.schema(schema)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = src.parquet(source_dir)
-    checked = validate(stream, rules)
-    lookup = store.select("hashed", F.col("prediction").alias("_stored"))
+    checked = validate(src.parquet(source_dir), rules)
+    keyed_store = store if isinstance(store, KeyedStore) else None
+    static = None if keyed_store else store.select("hashed", F.col("prediction").alias("_stored"))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
@@ -70,15 +75,19 @@ def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructT
             .write.mode("overwrite").parquet(f"{paths['rejected']}/{part}")
         valid = batch.where("is_valid").drop("errors", "is_valid")
         feats = scoring.keyed(pipeline.transform(valid), feature_cols)
-        joined = feats.join(lookup, "hashed", "left").persist()
+        joined = keyed_store.lookup(feats, "prediction") if keyed_store else feats.join(static, "hashed", "left")
+        joined = joined.persist()
         misses = scoring.predict(joined.where(F.col("_stored").isNull()), feature_cols, model, inverse)
         hits = joined.where(F.col("_stored").isNotNull()).withColumn("prediction", F.col("_stored"))
         res = hits.select(request_id, "hashed", F.lit(True).alias("hit"), "prediction").unionByName(
             misses.select(request_id, "hashed", F.lit(False).alias("hit"), "prediction"))
         res.write.mode("overwrite").parquet(f"{paths['results']}/{part}")
         scored = spark.read.parquet(f"{paths['results']}/{part}").where("NOT hit")
-        last_wins(scored.select("hashed", "prediction", F.current_timestamp().alias("scored_at")),
-                  ["hashed"], ["prediction"]).write.mode("overwrite").parquet(f"{paths['store_added']}/{part}")
+        added = scored.select("hashed", "prediction", F.current_timestamp().alias("scored_at"))
+        if keyed_store:
+            keyed_store.write_batch(added, batch_base + batch_id)
+        else:
+            last_wins(added, ["hashed"], ["prediction"]).write.mode("overwrite").parquet(f"{paths['store_added']}/{part}")
         valid.join(scored.select(request_id), request_id, "left_semi") \
             .withColumn("request_date", F.current_date()) \
             .write.mode("overwrite").parquet(f"{paths['log']}/{part}")
