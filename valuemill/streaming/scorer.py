@@ -1,10 +1,12 @@
 """Streaming scorer: requests arrive as files; each micro-batch is validated, transformed, keyed,
 looked up in the prediction store, and the misses are scored, added to the store and logged.
 
-Built from ``readStream`` -> stream-static left join -> ``foreachBatch``. Every batch writes to
-its own ``batch_id=N`` folder with mode ``overwrite``, so a batch replayed after a failure
-replaces its own output instead of duplicating it (``foreachBatch`` is at-least-once). The
-``availableNow`` trigger drains what is there and stops, which suits scheduled runs and tests.
+Built from ``readStream`` -> ``foreachBatch``: per micro-batch the store is looked up (a
+``KeyedStore`` is read as it is at that moment, so keys scored by an earlier batch hit), or a
+stream-static left join is used for a fixed store. Every batch writes to its own ``batch_id=N``
+folder with mode ``overwrite``, so a batch replayed after a failure replaces its own output
+instead of duplicating it (``foreachBatch`` is at-least-once). The ``availableNow`` trigger
+drains what is there and stops, which suits scheduled runs and tests.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from valuemill.functions import keys, numeric
+from valuemill.functions import numeric
 from valuemill.operators.store import last_wins
 from valuemill.operators.validate import validate
 from valuemill.plans import scoring
@@ -30,25 +32,6 @@ def _run(query_builder, checkpoint: str) -> None:
         raise q.exception()
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All ``batch_id=N`` folders of a foreachBatch sink (``batch_id`` becomes a column)."""
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
-def read_store(spark: SparkSession, base: DataFrame, added_path: str | None) -> DataFrame:
-    """The store = base rows + rows added by stream batches, one row per key (newest wins)."""
-    if added_path is None:
-        return base
-    try:
-        added = spark.read.parquet(added_path).select("hashed", "prediction", "scored_at")
-    except Exception:  # nothing added yet
-        return base
-    return last_wins(base.unionByName(added), ["hashed"], ["scored_at", "prediction"])
-
-
 def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructType, rules: dict,
                          pipeline: PipelineModel, feature_cols: list[str], model: GBTRegressionModel,
                          store, out_dir: str, request_id: str, inverse: str = "exp",
