@@ -144,3 +144,15 @@ def test_champion_keeps_ties(spark):
 def test_top_n(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 6.0)], "id int, ts double")
     assert [r.id for r in top_n(df, ["ts"], 2).collect()] == [2, 3]
+
+
+def test_exact_split_counts_and_ties(spark):
+    from valuemill.operators.split import exact_split
+    df = spark.range(10007).withColumnRenamed("id", "k")
+    s = exact_split(df, ["k"], 0.3)
+    assert s.where("split = 'test'").count() == math.ceil(0.3 * 10007)
+    dup = df.unionByName(df.where("k < 100"))           # repeated keys: equal hashes stay together
+    s2 = exact_split(dup, ["k"], 0.3)
+    per_key = s2.groupBy("k").agg(F.countDistinct("split").alias("sides"))
+    assert per_key.where("sides > 1").count() == 0
+    assert s2.where("split = 'test'").count() >= math.ceil(0.3 * dup.count())

@@ -166,6 +166,10 @@ _STRICT_ERRORS = "concat_ws(';', " + ", ".join(
     f"CASE WHEN NOT coalesce({pred}, false) THEN '{reason}' END" for reason, pred in cars.strict_rule_sql()) + ")"
 ORACLE_SQL["validate_strict"] = f"""WITH r AS (SELECT {cars.STRICT_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT l_orderkey, l_linenumber, {_STRICT_ERRORS} AS errors, {_STRICT_ERRORS} = '' AS is_valid FROM r"""
+ORACLE_SQL["exact_split"] = """WITH h AS (SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR)) AS hv FROM orders),
+c AS (SELECT CAST(ceil(0.3 * count(*)) AS BIGINT) AS k FROM orders),
+r AS (SELECT o_orderkey, row_number() OVER (ORDER BY hv) AS rn FROM h)
+SELECT o_orderkey, CASE WHEN rn <= k THEN 'test' ELSE 'train' END AS split FROM r, c"""
 ORACLE_SQL["row_slice"] = """SELECT o_orderkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 5 OFFSET 10"""
 ORACLE_SQL["table_shape"] = "SELECT count(*) AS n_rows, 11 AS n_cols FROM lineitem"

@@ -123,6 +123,11 @@ def q_hash_split(spark, sf_dir):
     return hash_split(_t(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.3)
 
 
+def q_exact_split(spark, sf_dir):
+    from valuemill.operators.split import exact_split
+    return exact_split(_t(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.3)
+
+
 def q_k_fold(spark, sf_dir):
     return with_folds(_t(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 5)
 
@@ -411,6 +416,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "standard_scale": q_standard_scale,
     "dedupe_rows": q_dedupe_rows,
     "hash_split": q_hash_split,
+    "exact_split": q_exact_split,
     "k_fold": q_k_fold,
     "row_key_hash": q_row_key_hash,
     "upsert_latest": q_upsert_latest,
