@@ -110,17 +110,17 @@ RAW_SELECT_SQL = f"""
   l_linenumber AS l_linenumber,
   p_name AS name,
   CAST(year(l_shipdate) AS INT) AS year,
-  CAST(l_quantity * 1000 + l_partkey % 1000 AS INT) AS km_driven,
+  CAST(round(l_quantity * 1000) + l_partkey % 1000 AS INT) AS km_driven,
   CASE l_partkey % 4 WHEN 0 THEN 'Diesel' WHEN 1 THEN 'Petrol' WHEN 2 THEN 'CNG' ELSE 'LPG' END AS fuel,
   CASE l_suppkey % 3 WHEN 0 THEN 'Individual' WHEN 1 THEN 'Dealer' ELSE 'Trustmark Dealer' END AS seller_type,
   CASE WHEN l_returnflag = 'R' THEN 'Automatic' ELSE 'Manual' END AS transmission,
   CASE l_linenumber WHEN 1 THEN 'First Owner' WHEN 2 THEN 'Second Owner' WHEN 3 THEN 'Third Owner'
        WHEN 4 THEN 'Fourth & Above Owner' WHEN 5 THEN 'Test Drive Car' ELSE 'First Owner' END AS owner,
   CASE WHEN l_orderkey % 11 = 0 THEN NULL
-       WHEN l_partkey % 4 IN (0, 1) THEN CAST(10 + CAST(l_discount * 100 AS INT) AS STRING) || '.' || CAST(l_partkey % 10 AS STRING) || ' kmpl'
+       WHEN l_partkey % 4 IN (0, 1) THEN CAST(10 + CAST(round(l_discount * 100) AS INT) AS STRING) || '.' || CAST(l_partkey % 10 AS STRING) || ' kmpl'
        ELSE CAST(15 + p_size % 10 AS STRING) || ' km/kg' END AS mileage,
   CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST(600 + p_size * 50 AS STRING) || ' CC' END AS engine,
-  CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE CAST(CAST(p_retailprice / 10 AS INT) AS STRING) || ' bhp' END AS max_power,
+  CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE CAST(CAST(floor(p_retailprice / 10) AS INT) AS STRING) || ' bhp' END AS max_power,
   CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE {TORQUE_TEXT_SQL} END AS torque,
   CASE WHEN l_orderkey % 19 = 0 THEN NULL ELSE CAST(4 + l_linenumber % 4 AS DOUBLE) END AS seats,
   l_extendedprice AS selling_price,

@@ -170,6 +170,10 @@ ORACLE_SQL["exact_split"] = """WITH h AS (SELECT o_orderkey, sha256(CAST(o_order
 c AS (SELECT CAST(ceil(0.3 * count(*)) AS BIGINT) AS k FROM orders),
 r AS (SELECT o_orderkey, row_number() OVER (ORDER BY hv) AS rn FROM h)
 SELECT o_orderkey, CASE WHEN rn <= k THEN 'test' ELSE 'train' END AS split FROM r, c"""
+_RAW_COLS = ", ".join(cars.FEATURE_INPUTS + [cars.LABEL])
+ORACLE_SQL["land_raw_csv"] = f"""WITH raw AS (SELECT {cars.RAW_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey),
+d AS (SELECT DISTINCT {_RAW_COLS} FROM raw)
+SELECT fuel, transmission, count(*) AS n_records, round(avg(selling_price), 6) AS avg_price FROM d GROUP BY 1, 2"""
 ORACLE_SQL["row_slice"] = """SELECT o_orderkey, o_totalprice FROM orders
 ORDER BY o_totalprice DESC, o_orderkey LIMIT 5 OFFSET 10"""
 ORACLE_SQL["table_shape"] = "SELECT count(*) AS n_rows, 11 AS n_cols FROM lineitem"

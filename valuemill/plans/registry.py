@@ -391,6 +391,18 @@ def q_csv_round_trip(spark, sf_dir):
     return read_csv(spark, path, n.schema)
 
 
+def q_land_raw_csv(spark, sf_dir):
+    """Raw car records landed as CSV under path-like column names, read back with an explicit
+    schema, names tidied, full-row dedupe, then a summary per fuel and transmission."""
+    raw = cars.raw_records(spark, sf_dir).select(*cars.FEATURE_INPUTS, cars.LABEL)
+    path = scratch_path(spark, "raw-csv")
+    write_csv(raw.toDF(*[f"raw/cars/{c}" for c in raw.columns]), path)
+    landed_schema = T.StructType([T.StructField(f"raw/cars/{f.name}", f.dataType) for f in raw.schema.fields])
+    back = dedupe(rename_tail(read_csv(spark, path, landed_schema)))
+    return back.groupBy("fuel", "transmission").agg(F.count(F.lit(1)).alias("n_records"),
+                                                     R(F.avg(cars.LABEL)).alias("avg_price"))
+
+
 def q_decode_utf8(spark, sf_dir):
     d = _t(spark, sf_dir, "documents").select("doc_id", F.encode("text", "UTF-8").alias("text"))
     return decode_binary(d).select("doc_id", "text", F.length("text").cast("long").alias("n_chars"))
@@ -440,6 +452,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_ols": q_impute_ols,
     "impute_iterative": q_impute_iterative,
     "csv_round_trip": q_csv_round_trip,
+    "land_raw_csv": q_land_raw_csv,
     "decode_utf8": q_decode_utf8,
     "rename_tail": q_rename_tail,
 }
