@@ -102,8 +102,11 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``valuemill`` importable on every executor (``addPyFile`` of a zip of the package).
 
     Python code run inside tasks (``mapInPandas`` batches) refers to library functions by module
-    name, so executors need the package on their path; this is the ``--py-files`` mechanism.
+    name, so executors need the package on their path; this is the ``--py-files`` mechanism. The
+    zip is built in memory and written through the Hadoop FileSystem API into the shared
+    checkpoint folder, from where Spark distributes it.
     """
+    import io
     import zipfile
 
     app = spark.sparkContext.applicationId
@@ -111,12 +114,20 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="valuemill-pyfiles-"), "valuemill.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
         for base, _, files in os.walk(pkg):
             for f in files:
                 if f.endswith(".py"):
                     full = os.path.join(base, f)
                     z.write(full, os.path.relpath(full, root))
-    spark.sparkContext.addPyFile(out)
+    target = f"{scratch_path(spark, 'pyfiles')}/valuemill.zip"
+    sc = spark.sparkContext
+    jpath = sc._jvm.org.apache.hadoop.fs.Path(target)
+    out = jpath.getFileSystem(sc._jsc.hadoopConfiguration()).create(jpath, True)
+    try:
+        out.write(bytearray(buf.getvalue()))
+    finally:
+        out.close()
+    sc.addPyFile(target)
     _SHIPPED.add(app)
