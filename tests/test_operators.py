@@ -156,3 +156,35 @@ def test_exact_split_counts_and_ties(spark):
     per_key = s2.groupBy("k").agg(F.countDistinct("split").alias("sides"))
     assert per_key.where("sides > 1").count() == 0
     assert s2.where("split = 'test'").count() >= math.ceil(0.3 * dup.count())
+
+
+def test_lookup_hot_key_is_split_by_aqe_and_complete(spark):
+    """One key holds a third of the requests. With broadcast off and small skew thresholds, AQE
+    splits the hot partition of the sort-merge join; every request row is kept."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        req = spark.range(30000).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("hashed"),
+            (F.col("id") * 1.0).alias("x"))
+        store = spark.range(0, 30000, 7).select(F.col("id").cast("string").alias("hashed"),
+                                                 (F.col("id") * 10.0).alias("prediction")) \
+            .unionByName(spark.createDataFrame([("hot", -1.0)], "hashed string, prediction double"))
+        out = lookup_or_score(req, store, "hashed", "prediction", F.col("x"))
+        rows = out.collect()
+        assert len(rows) == 30000
+        assert sum(1 for r in rows if r.hashed == "hot" and r.prediction == -1.0) == 10000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan[:2000]
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
