@@ -238,3 +238,27 @@ def test_keyed_store_stream_second_run_hits(spark, sf_dir, fitted):
     store.write_batch(store.current(), 5)          # replay of batch 5 twice: no duplicates
     store.write_batch(store.current(), 5)
     assert store.current().count() == n_keys
+
+
+def test_keyed_store_compact_and_lookup(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from valuemill.sources import KeyedStore
+    schema = T.StructType([T.StructField("hashed", T.StringType()), T.StructField("prediction", T.DoubleType())])
+    store = KeyedStore(spark, str(tmp_path / "s"), "hashed", schema)
+    store.write_batch(spark.createDataFrame([("a", 1.0), ("b", 2.0)], schema), 0)
+    store.write_batch(spark.createDataFrame([("b", 20.0), ("c", 3.0)], schema), 1)
+    cur = {r.hashed: r.prediction for r in store.current().collect()}
+    assert cur == {"a": 1.0, "b": 20.0, "c": 3.0}
+    compacted = store.compact(str(tmp_path / "s2"))
+    assert {r.hashed: r.prediction for r in compacted.current().collect()} == cur
+    req = spark.createDataFrame([(1, "b"), (2, "z")], "id int, hashed string")
+    got = {r.id: r._stored for r in compacted.lookup(req, "prediction").collect()}
+    assert got == {1: 20.0, 2: None}
+
+
+def test_catalog_register_views(spark, tmp_path):
+    p = str(tmp_path / "t")
+    spark.createDataFrame([(1,), (2,)], "v int").write.parquet(p)
+    Catalog({"things": p}).register_views(spark)
+    assert spark.sql("SELECT sum(v) AS s FROM things").first().s == 3
