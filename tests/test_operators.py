@@ -188,3 +188,11 @@ def test_lookup_hot_key_is_split_by_aqe_and_complete(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_split_edge_fractions(spark):
+    from valuemill.operators.split import exact_split
+    df = spark.range(500).withColumnRenamed("id", "k")
+    for frac, want in ((0.0, 0), (1.0, 500)):
+        assert exact_split(df, ["k"], frac).where("split = 'test'").count() == want
+        assert hash_split(df, ["k"], frac).where("split = 'test'").count() == want
