@@ -262,3 +262,14 @@ def test_catalog_register_views(spark, tmp_path):
     spark.createDataFrame([(1,), (2,)], "v int").write.parquet(p)
     Catalog({"things": p}).register_views(spark)
     assert spark.sql("SELECT sum(v) AS s FROM things").first().s == 3
+
+
+def test_search_draws_are_accepted_by_gbt(spark):
+    """Every mapped option of both search profiles is a valid GBTRegressor setting (tiny fits,
+    trees capped at 2 to keep the test short)."""
+    raw = spark.createDataFrame([(float(i), float(i % 7), float(i)) for i in range(60)], "a double, b double, y double")
+    tiny = train.assemble(raw, ["a", "b"])
+    for draw in train.draw_params("A", 3) + train.draw_params("B", 3):
+        settings = {**train.gbt_settings(draw), "maxIter": 2}
+        model = train.regressor("y", **settings).fit(tiny)
+        assert model.getNumTrees == 2
