@@ -109,3 +109,42 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     np.cumsum(_byte_codes(lower)[data] * power[:size], out=sums[1:])
     hashes = mix64((sums[ends] - sums[starts]) * inverse[starts])
     return hashes, np.searchsorted(offsets, starts, side="right") - 1, starts, ends
+
+
+def rolling_cuts(data: np.ndarray, offsets: np.ndarray, bits: int, window: int = 16) -> np.ndarray:
+    """Ends of content-defined chunks of a block of UTF-8 documents, every document's end among them.
+
+    A chunk ends where the rolling hash of its last ``window`` bytes has ``bits`` zero bits, so equal
+    passages are cut alike wherever they stand; never inside a character or a window that spans two documents.
+    """
+    size = len(data)
+    if size < window:
+        return offsets[1:]
+    power, inverse = _powers(1 << max(21, int(size).bit_length()))
+    sums = np.zeros(size + 1, np.uint64)
+    np.cumsum(_byte_codes(False)[data] * power[:size], out=sums[1:])
+    low = (sums[window:] - sums[:-window]) * inverse[:size + 1 - window] * np.uint64(_MULTIPLIER)
+    ends = np.flatnonzero(low >> np.uint64(64 - bits) == 0) + window
+    ends = ends[ends < size]
+    ends = ends[(data[ends] & 0xC0) != 0x80]
+    begun = offsets[np.searchsorted(offsets, ends, side="left") - 1]
+    return np.union1d(ends[ends - begun >= window], offsets[1:])
+
+
+class Generations:
+    """A dictionary of bounded size: what was not asked for during a whole generation is forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.young, self.old, self.held = most, {}, {}, 0
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value, weight: int = 1) -> None:
+        if self.held >= self.most:
+            self.young, self.old, self.held = {}, self.young, 0
+        self.young[key] = value
+        self.held += weight

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import line_dedup, sharding
+from valuemill.llm import bpe, line_dedup, sharding
 from valuemill.llm.common import table
 
 
@@ -13,12 +13,22 @@ def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=10, shortest=1)
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_shards, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op8_line_dedup)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
