@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, sharding
+from valuemill.llm import bpe, line_dedup, sharding, streaming_dedup, token_counts
 from valuemill.llm.common import table
+from valuemill.session import sf_path
 
 
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,14 +24,26 @@ def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.length_report(table(spark, sf_dir, "documents"), tokenizer_path(), by="source")
+
+
+def op7_streaming_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = sf_path(sf_dir, "documents")
+    dedup = streaming_dedup.StreamingDedup(spark)
+    dedup.advance(path)
+    return dedup.result(path)
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_dedup.drop_frequent_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=10, shortest=1)
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op8_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op6_length_histogram, op7_streaming_dedup, op8_line_dedup)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
+    "op7_streaming_dedup": streaming_dedup.DEDUP_SQL,
     "op8_line_dedup": line_dedup.LINE_SQL,
 }
