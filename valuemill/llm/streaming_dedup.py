@@ -50,6 +50,8 @@ class StreamingDedup:
     def advance(self, path: str, id_col: str = "doc_id", text: str = "text") -> None:
         """Take all files of ``path`` (Parquet) that were not read yet. A micro-batch that is repeated replaces its own output."""
         schema = self.spark.read.parquet(path).select(id_col, text).schema
+        one = path.rstrip("/")
+        path = f"{one[:-1]}[{one[-1]}]"  # a pattern for just this path: a plain one would have to be a folder
         rows = (self.spark.readStream.schema(schema).option("maxBytesPerTrigger", str(self.batch_bytes)).parquet(path)
                 .withColumn("file", F.col("_metadata.file_path")))
         whole = F.coalesce(F.col(text), F.lit(""))
