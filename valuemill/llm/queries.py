@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, sharding, streaming_dedup, token_counts
+from valuemill.llm import bpe, line_dedup, mixing, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -24,6 +24,11 @@ def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mixed(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")
+
+
 def op6_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_report(table(spark, sf_dir, "documents"), tokenizer_path(), by="source")
 
@@ -40,10 +45,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op6_length_histogram, op7_streaming_dedup, op8_line_dedup)}
+def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
     "op7_streaming_dedup": streaming_dedup.DEDUP_SQL,
     "op8_line_dedup": line_dedup.LINE_SQL,
+    "op10_norm_sorted_topk": vector_topk.TOPK_SQL,
 }
