@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
 
+def op1_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
+    return quality_fm.scored(docs, model, threshold=0.7, keep=["doc_id"]).select(
+        "doc_id", quality_fm.held_out().alias("held_out"), F.col("fm_score").alias("score"), F.col("fm_predicted").alias("predicted"))
+
+
 def op2_histogram_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.histogram_shards(table(spark, sf_dir, "documents"), shards=24)
 
@@ -49,7 +56,7 @@ def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op2_histogram_shards, op3_chunk_bpe, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
+QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
