@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, pseudo_lm, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -31,6 +31,11 @@ def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_masked_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pseudo_lm.scored(docs, pseudo_lm.train(docs))
+
+
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mixed(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "source", "lang", "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")
@@ -56,7 +61,7 @@ def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
+QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
