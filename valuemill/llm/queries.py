@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, pseudo_lm, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, ngram_join, pseudo_lm, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -57,11 +57,15 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op10_norm_sorted_topk)}
+QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op9_ngram_join, op10_norm_sorted_topk)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
