@@ -18,6 +18,8 @@ from valuemill.llm.common import blocks, utf8_block, word_hashes
 
 #: Word buckets; rank; labelled rows that training takes at most, of each label; passes; learning rate; weight decay.
 BUCKETS, RANK, SAMPLE, EPOCHS, RATE, DECAY, BATCH = 1 << 12, 8, 6000, 12, 0.02, 1e-5, 256
+#: Few rows are passed over more often, until there were this many steps.
+STEPS = 400
 #: Statistics and the edges of their bins; each bin is a feature.
 _SHARE = (0.0005, 0.002, 0.005, 0.01, 0.02, 0.04, 0.08, 0.15, 0.25, 0.4, 0.6, 0.8)
 STATISTICS = {
@@ -100,7 +102,7 @@ class FactorisationMachine:
         weight = np.where(labels == 1, 0.5 / max(labels.mean(), 1e-9), 0.5 / max(1 - labels.mean(), 1e-9))
         params = [self.linear, self.factors]
         m, s = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-STEPS * BATCH // max(1, len(rows))))):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), BATCH):
                 chosen = order[at:at + BATCH]
