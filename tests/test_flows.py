@@ -245,7 +245,7 @@ def test_keyed_store_compact_and_lookup(spark, tmp_path):
 
     from valuemill.sources import KeyedStore
     schema = T.StructType([T.StructField("hashed", T.StringType()), T.StructField("prediction", T.DoubleType())])
-    store = KeyedStore(spark, str(tmp_path / "s"), "hashed", schema)
+    store = KeyedStore(spark, str(tmp_path / "s"), "hashed", schema, order=["prediction"])
     store.write_batch(spark.createDataFrame([("a", 1.0), ("b", 2.0)], schema), 0)
     store.write_batch(spark.createDataFrame([("b", 20.0), ("c", 3.0)], schema), 1)
     cur = {r.hashed: r.prediction for r in store.current().collect()}
@@ -273,3 +273,89 @@ def test_search_draws_are_accepted_by_gbt(spark):
         settings = {**train.gbt_settings(draw), "maxIter": 2}
         model = train.regressor("y", **settings).fit(tiny)
         assert model.getNumTrees == 2
+
+
+def _event_stream(spark, root, ids, store, out, **options):
+    """Requests ``ids`` as files of one batch each through the stream; a key is the id modulo 100."""
+    from valuemill.streaming.scorer import run_request_stream
+    src = f"{root}/src"
+    for i in ids:
+        spark.createDataFrame([(i, f"k{i % 100}", float(i))], "event_id long, hashed string, value double").coalesce(1) \
+            .write.mode("append").parquet(src)
+    return run_request_stream(spark, src, spark.read.parquet(src).schema, {"id": F.col("event_id").isNotNull()}, lambda d: d,
+                              lambda d: d.withColumn("prediction", F.col("value") * 2), store, out, "event_id",
+                              max_files_per_trigger=1, **options)
+
+
+def _store(spark, path):
+    from valuemill.plans.scoring import STORE_SCHEMA
+    from valuemill.sources import KeyedStore
+    return KeyedStore(spark, path, "hashed", STORE_SCHEMA, order=["scored_at"])
+
+
+def _content(spark, store, paths):
+    rows = lambda d: sorted(map(str, d.collect()))
+    return rows(store._all()), rows(spark.read.parquet(paths["log"])), rows(spark.read.parquet(paths["results"]))
+
+
+def test_replayed_batch_gives_the_same_store_log_and_results(spark, tmp_path):
+    import glob
+    import os
+    store, out = _store(spark, str(tmp_path / "store")), str(tmp_path / "out")
+    paths = _event_stream(spark, str(tmp_path), [1, 2, 101], store, out)
+    before = _content(spark, store, paths)
+    assert len(before[0]) == 2 and len(before[1]) == 2 and len(before[2]) == 3
+    last = max(glob.glob(f"{paths['_checkpoint']}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    for name in (last, os.path.join(os.path.dirname(last), f".{os.path.basename(last)}.crc")):
+        os.replace(name, str(tmp_path / f"lost-{os.path.basename(name)}"))  # as if the driver had died before the commit
+    again = _event_stream(spark, str(tmp_path), [], store, out)
+    assert _content(spark, store, again) == before
+
+
+def test_second_stream_keeps_the_first_ones_store(spark, tmp_path):
+    store = _store(spark, str(tmp_path / "store"))
+    _event_stream(spark, str(tmp_path / "a"), [1, 2, 3, 4, 5], store, str(tmp_path / "out1"))
+    _event_stream(spark, str(tmp_path / "b"), [6, 7, 8], store, str(tmp_path / "out2"))
+    assert store.current().count() == 8
+    with pytest.raises(ValueError, match="next free batch"):
+        _event_stream(spark, str(tmp_path / "c"), [9], store, str(tmp_path / "out3"), batch_base=0)
+
+
+def test_stream_misses_reach_the_daily_job(spark, tmp_path):
+    day = dt.date(2024, 3, 1)
+    paths = _event_stream(spark, str(tmp_path), [1, 2, 101], _store(spark, str(tmp_path / "store")), str(tmp_path / "out"),
+                          log_dir=str(tmp_path / "log"), log_day=day)
+    got = read_yesterday(spark, paths["log"], day + dt.timedelta(days=1))
+    assert sorted(r.event_id for r in got.collect()) == [1, 2] and got.columns == ["event_id", "hashed", "value", "request_date"]
+
+
+def test_csv_keeps_texts_and_fails_on_what_does_not_fit(spark, tmp_path):
+    from valuemill.sources import read_csv, write_csv
+    df = spark.createDataFrame([(1, "a\nb"), (2, " pad "), (3, ""), (4, None), (5, 'say "hi", x'), (6, "back\\slash"), (7, '"')], "a int, b string")
+    path = str(tmp_path / "csv")
+    write_csv(df, path)
+    assert sorted(map(str, read_csv(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, path, "b string, a int").collect()
+    spark.createDataFrame([("1",), ("x",)], "a string").write.option("header", True).csv(str(tmp_path / "bad"))
+    with pytest.raises(Exception):
+        read_csv(spark, str(tmp_path / "bad"), "a int").collect()
+    kept = read_csv(spark, str(tmp_path / "bad"), "a int", corrupt_col="broken").collect()
+    assert {(r.a, r.broken) for r in kept} == {(1, None), (None, "x")}
+
+
+def test_prepared_keeps_whole_records(spark, monkeypatch):
+    raw = [(9, 2000, 1.0, dt.datetime(2024, 1, 5)), (9, 3, 1.0, dt.datetime(2024, 1, 9)), (4, 1, 2.0, dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(raw, "l_orderkey long, l_linenumber int, selling_price double, request_ts timestamp")
+    for c in cars.FEATURE_INPUTS:
+        df = df.withColumn(c, F.lit("x"))
+    monkeypatch.setattr(cars, "raw_records", lambda *_: df)
+    got = {(r.l_orderkey, r.l_linenumber, r.request_ts.day) for r in flagship.prepared(spark, "").collect()}
+    assert got == {(9, 2000, 5), (4, 1, 2)}
+
+
+def test_errors_are_not_taken_for_absent_tables(spark, tmp_path):
+    (tmp_path / "store" / "batch_id=0").mkdir(parents=True)
+    (tmp_path / "store" / "batch_id=0" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):
+        _store(spark, str(tmp_path / "store")).current().collect()

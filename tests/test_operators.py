@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from valuemill.operators import (OneHotDropFirst, PopulationStandardScaler, champion_challenger, dedupe,
@@ -196,3 +197,25 @@ def test_split_edge_fractions(spark):
     for frac, want in ((0.0, 0), (1.0, 500)):
         assert exact_split(df, ["k"], frac).where("split = 'test'").count() == want
         assert hash_split(df, ["k"], frac).where("split = 'test'").count() == want
+
+
+def test_null_keys_have_a_side_and_a_fold(spark):
+    from valuemill.operators.split import exact_split
+    df = spark.createDataFrame([(None, 1), (None, 2), (1, None), (2, 3), (3, 4)], "k int, j int")
+    assert exact_split(df, ["k"], 0.4).where("split is not null").count() == 5
+    folds = with_folds(df, ["k", "j"], 3)
+    assert folds.where("fold between 0 and 2").count() == 5
+    from valuemill.operators.split import key_digest
+    assert spark.createDataFrame([("a", None), (None, "a")], "x string, y string").select(key_digest(["x", "y"])).distinct().count() == 2
+
+
+def test_integer_fields_take_no_fraction(spark):
+    df = spark.createDataFrame([(4.0,), (4.5,), (None,)], "seats double")
+    assert [r[0] for r in df.select(VR.typed("seats", "int")).collect()] == [True, False, False]
+    assert [r[0] for r in spark.createDataFrame([("4",), ("4.5",), ("x",)], "s string").select(VR.typed("s", "int")).collect()] == [True, False, False]
+
+
+def test_store_needs_an_order(spark):
+    from valuemill.sources import KeyedStore
+    with pytest.raises(ValueError):
+        KeyedStore(spark, "/nowhere", "k", spark.range(1).schema, order=[])

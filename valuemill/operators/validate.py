@@ -36,8 +36,11 @@ def in_range(c: Column | str, lo=None, hi=None) -> Column:
 
 
 def typed(c: Column | str, dtype: str) -> Column:
-    """Value parses as ``dtype`` (NULL input fails too)."""
-    return _col(c).try_cast(dtype).isNotNull()
+    """Value parses as ``dtype`` (NULL input fails too); an integer type takes no fraction."""
+    x = _col(c)
+    if dtype in ("tinyint", "smallint", "int", "bigint", "long"):
+        return x.try_cast(dtype).isNotNull() & (x.try_cast(dtype).cast("double") == x.try_cast("double"))
+    return x.try_cast(dtype).isNotNull()
 
 
 def errors_column(rules: dict[str, Column]) -> Column:

@@ -6,7 +6,6 @@ plain SQL that both engines accept, so both sides start from identical inputs.
 
 from __future__ import annotations
 
-from valuemill.functions import text
 from valuemill.plans import cars
 from valuemill.plans.registry import CUT, NULL_RULES_SQL, PRIORITY_RANKS
 
@@ -15,27 +14,25 @@ CONST_STD = "2.220446049250313e-15"
 
 
 def _torque_sql() -> str:
-    pats = text.TORQUE_PATTERNS
-    v = " ".join(f"WHEN regexp_matches(t, '{p}') THEN regexp_extract(t, '{p}', 1)" for p in pats)
-    r = " ".join(f"WHEN regexp_matches(t, '{p}') THEN regexp_extract(t, '{p}', 3)" for p in pats)
+    """The expected value and speed of each text come from the numbers that the text was made of, not from parsing it."""
     return f"""
-WITH src AS (SELECT l_orderkey, l_linenumber, {cars.TORQUE_TEXT_SQL} AS torque FROM lineitem),
-low AS (SELECT *, lower(torque) AS t FROM src),
-m AS (SELECT *, CASE {v} END AS v, CASE {r} END AS r FROM low)
+WITH src AS (SELECT l_orderkey, l_linenumber, {cars.TORQUE_TEXT_SQL} AS torque, CAST(l_quantity AS BIGINT) AS q, l_partkey AS p FROM lineitem)
 SELECT l_orderkey, l_linenumber, torque,
-  round(CASE WHEN contains(t, 'kgm') THEN try_cast(v AS DOUBLE) * 9.81 ELSE try_cast(v AS DOUBLE) END, 6) AS torque_peak_power,
-  CAST(list_max(list_transform(string_split(replace(r, ',', ''), '-'),
-       lambda x: try_cast(regexp_replace(x, '^\\s+|\\s+$', '', 'g') AS BIGINT))) AS DOUBLE) AS torque_peak_speed
-FROM m"""
+  round(CAST(CASE l_linenumber WHEN 1 THEN q * 5 WHEN 2 THEN (q + (p % 10) / 10.0) * 9.81 WHEN 3 THEN q * 4 WHEN 4 THEN q * 10 * 9.81
+             WHEN 5 THEN q * 6 WHEN 6 THEN q * 9.81 ELSE q * 3 END AS DOUBLE), 6) AS torque_peak_power,
+  CAST(CASE l_linenumber WHEN 1 THEN 1500 + p % 3000 WHEN 2 THEN 2000 + p % 2500 WHEN 3 THEN 2500 + p % 1000 WHEN 4 THEN 2000 + p % 2000
+            WHEN 5 THEN 1000 + p % 4000 WHEN 6 THEN (1 + p % 3) * 1000 + 100 + p % 900 ELSE 1000 + p % 3000 END AS DOUBLE) AS torque_peak_speed
+FROM src"""
 
 
 def _mileage_sql() -> str:
+    """The expected value comes from the numbers, unit and fuel that the text was made of, not from parsing it."""
     return f"""
-WITH m AS (SELECT p_partkey, {cars.FUEL_SQL} AS fuel, {cars.MILEAGE_TEXT_SQL} AS mileage FROM part)
-SELECT p_partkey, fuel, mileage, round(CASE
-  WHEN lower(fuel) IN ('diesel', 'petrol') THEN try_cast(regexp_extract(coalesce(mileage, ''), '{text.KMPL_PATTERN}', 1) AS DOUBLE)
-  WHEN lower(fuel) IN ('cng', 'lpg') THEN try_cast(regexp_extract(coalesce(mileage, ''), '{text.KMKG_PATTERN}', 1) AS DOUBLE) * CAST(1.39 AS DOUBLE)
-  END, 6) AS mileage_kmpl FROM m"""
+WITH m AS (SELECT p_partkey, p_size, {cars.FUEL_SQL} AS fuel, {cars.MILEAGE_TEXT_SQL} AS mileage FROM part)
+SELECT p_partkey, fuel, mileage, round(CAST(CASE
+  WHEN p_partkey % 3 = 0 AND p_partkey % 6 IN (0, 1, 5) THEN p_size + (p_partkey % 10) / 10.0
+  WHEN p_partkey % 3 = 1 AND p_partkey % 6 IN (2, 3) THEN p_size * 1.39
+  END AS DOUBLE), 6) AS mileage_kmpl FROM m"""
 
 
 def _one_hot(col: str, values: list[str]) -> str:
@@ -162,8 +159,27 @@ SELECT l_orderkey, l_linenumber, round(coalesce(p, a + b * q), 6) AS l_extendedp
     "rename_tail": "SELECT * FROM nation",
 }
 
-_STRICT_ERRORS = "concat_ws(';', " + ", ".join(
-    f"CASE WHEN NOT coalesce({pred}, false) THEN '{reason}' END" for reason, pred in cars.strict_rule_sql()) + ")"
+# The strict rules written out, apart from the engine's own constants.
+_STRICT_ERRORS = """concat_ws(';',
+  CASE WHEN fuel IN ('petrol', 'diesel', 'cng', 'lpg', 'electric') THEN NULL ELSE 'fuel_not_allowed' END,
+  CASE WHEN seller_type IN ('individual', 'dealer', 'trustmark dealer') THEN NULL ELSE 'seller_type_not_allowed' END,
+  CASE WHEN transmission IN ('manual', 'automatic') THEN NULL ELSE 'transmission_not_allowed' END,
+  CASE WHEN owner IN ('first', 'second', 'third', 'fourth & above') THEN NULL ELSE 'owner_not_allowed' END,
+  CASE WHEN brand IS NULL THEN 'brand_missing' END,
+  CASE WHEN model IS NULL THEN 'model_missing' END,
+  CASE WHEN year >= 1886 AND year <= 2024 THEN NULL ELSE 'year_out_of_range' END,
+  CASE WHEN km_driven >= 0 THEN NULL ELSE 'km_driven_out_of_range' END,
+  CASE WHEN mileage >= 0 THEN NULL ELSE 'mileage_out_of_range' END,
+  CASE WHEN engine >= 50 AND engine <= 10000 THEN NULL ELSE 'engine_out_of_range' END,
+  CASE WHEN max_power >= 0 THEN NULL ELSE 'max_power_out_of_range' END,
+  CASE WHEN torque_peak_power >= 0 THEN NULL ELSE 'torque_peak_power_out_of_range' END,
+  CASE WHEN torque_peak_speed >= 0 THEN NULL ELSE 'torque_peak_speed_out_of_range' END,
+  CASE WHEN seats >= 2 AND seats <= 12 THEN NULL ELSE 'seats_out_of_range' END,
+  CASE WHEN year = floor(year) THEN NULL ELSE 'year_not_int' END,
+  CASE WHEN km_driven = floor(km_driven) THEN NULL ELSE 'km_driven_not_int' END,
+  CASE WHEN engine = floor(engine) THEN NULL ELSE 'engine_not_int' END,
+  CASE WHEN torque_peak_speed = floor(torque_peak_speed) THEN NULL ELSE 'torque_peak_speed_not_int' END,
+  CASE WHEN seats = floor(seats) THEN NULL ELSE 'seats_not_int' END)"""
 ORACLE_SQL["validate_strict"] = f"""WITH r AS (SELECT {cars.STRICT_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT l_orderkey, l_linenumber, {_STRICT_ERRORS} AS errors, {_STRICT_ERRORS} = '' AS is_valid FROM r"""
 ORACLE_SQL["exact_split"] = """WITH h AS (SELECT o_orderkey, sha256(CAST(o_orderkey AS VARCHAR)) AS hv FROM orders),

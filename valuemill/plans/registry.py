@@ -189,7 +189,8 @@ def q_store_lookup(spark, sf_dir):
     daily = _request_keys(ev.where(F.col("ts") < cut)).groupBy("hashed", F.to_date("ts").alias("day")) \
         .agg(F.avg("value").alias("prediction"))
     store = KeyedStore(spark, scratch_path(spark, "keyed-store"), "hashed",
-                       T.StructType([T.StructField("hashed", T.StringType()), T.StructField("prediction", T.DoubleType())]))
+                       T.StructType([T.StructField("hashed", T.StringType()), T.StructField("prediction", T.DoubleType())]),
+                       order=["prediction"])  # one row per key and day: nothing to tell apart within a batch
     store.write_batches(daily.withColumn("b", F.datediff("day", F.lit("1970-01-01"))), "b")
     requests = _request_keys(ev.where(F.col("ts") >= cut)).select("event_id", "hashed", "value")
     j = store.lookup(requests, "prediction")

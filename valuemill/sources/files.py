@@ -12,11 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+# One CSV dialect for both directions: quotes doubled (RFC 4180), blanks kept, a NULL is an empty
+# field and an empty text is a quoted one. The read-side NULL marker only has to be no real value.
+_READ_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+             "ignoreTrailingWhiteSpace": False, "nullValue": "\u0000", "emptyValue": ""}
+_WRITE_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+              "ignoreTrailingWhiteSpace": False, "nullValue": "", "emptyValue": '""'}
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-             infer: bool = False, **options) -> DataFrame:
-    """CSV with a header line. With ``schema`` no inference pass runs."""
-    r = spark.read.option("header", True).options(**options)
+             infer: bool = False, multiline: bool = True, corrupt_col: str | None = None, **options) -> DataFrame:
+    """CSV with a header line. With ``schema`` no inference pass runs.
+
+    The header must name the schema's columns in order, else the read fails. A record that does not
+    fit the schema fails the job; with ``corrupt_col`` its text is kept in that column instead.
+    ``multiline=False`` lets one large file be split over tasks; use it only where no field holds a
+    line break.
+    """
+    r = spark.read.options(**{**_READ_CSV, "multiLine": multiline, **options})
     if schema is not None:
+        schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        if corrupt_col:
+            # The header check would take the added column for one of the file's.
+            schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
+            r = r.option("columnNameOfCorruptRecord", corrupt_col)
+        else:
+            r = r.option("mode", options.get("mode", "FAILFAST")).option("enforceSchema", False)
         r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True)
@@ -25,7 +46,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options) -> None:
     """CSV with a header line and no index column (Spark has no row index)."""
-    df.write.mode(mode).option("header", True).options(**options).csv(path)
+    df.write.mode(mode).options(**{**_WRITE_CSV, **options}).csv(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
@@ -42,13 +63,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
                 partition_by: list[str] | None = None) -> None:
     w = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**_WRITE_CSV)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)
 
 
-def _path_missing(e: AnalysisException) -> bool:
+def path_missing(e: AnalysisException) -> bool:
     cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
     name = cond() if cond else None
     return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e)
@@ -62,6 +83,6 @@ def read_optional(spark: SparkSession, path: str, schema: T.StructType | str, fm
         df.schema  # noqa: B018  (resolves the relation: raises here when the path is absent)
         return df
     except AnalysisException as e:
-        if not _path_missing(e):
+        if not path_missing(e):
             raise
         return spark.createDataFrame([], schema)

@@ -1,16 +1,23 @@
-"""Streaming scorer: requests arrive as files; each micro-batch is validated, transformed, keyed,
-looked up in the prediction store, and the misses are scored, added to the store and logged.
-
-Built from ``readStream`` -> ``foreachBatch``: per micro-batch the store is looked up (a
-``KeyedStore`` is read as it is at that moment, so keys scored by an earlier batch hit), or a
-stream-static left join is used for a fixed store. Every batch writes to its own ``batch_id=N``
-folder with mode ``overwrite``, so a batch replayed after a failure replaces its own output
-instead of duplicating it (``foreachBatch`` is at-least-once). The ``availableNow`` trigger
+"""Streaming scorer: requests arrive as files; each micro-batch is validated, keyed, looked up in the
+prediction store, and the misses are scored, added to the store and logged.
+
+Built from ``readStream`` -> ``foreachBatch``, which is at-least-once. A batch that runs again gives the
+same results, store rows and log rows, and replaces its own:
+
+* it has a fixed number ``base + batch_id`` in the store, above all batches that were there when the
+  stream first started, and looks up lower numbers only, so it never hits rows of its own first attempt;
+* the base, the log day and the scoring time are written once, when the stream first starts;
+* results, rejects, store rows and log rows of a batch go to folders of that batch, written with overwrite.
+
+Logged misses are in the layout that ``read_day`` / ``read_yesterday`` read. The ``availableNow`` trigger
 drains what is there and stops, which suits scheduled runs and tests.
 """
 
 from __future__ import annotations
 
+import datetime as _dt
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +28,12 @@ from valuemill.functions import numeric
 from valuemill.operators.store import last_wins
 from valuemill.operators.validate import validate
 from valuemill.plans import scoring
-from valuemill.session import scratch_path
+from valuemill.session import materialize, scratch_path
+from valuemill.sources.files import read_optional
 from valuemill.sources.keyed_store import KeyedStore
+from valuemill.sources.request_log import append_batch
+
+_RUN_SCHEMA = "batch_base long, log_day date, scored_at timestamp"
 
 
 def _run(query_builder, checkpoint: str) -> None:
@@ -32,24 +43,42 @@ def _run(query_builder, checkpoint: str) -> None:
         raise q.exception()
 
 
-def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructType, rules: dict,
-                         pipeline: PipelineModel, feature_cols: list[str], model: GBTRegressionModel,
-                         store, out_dir: str, request_id: str, inverse: str = "exp",
-                         max_files_per_trigger: int | None = None, batch_base: int = 0) -> dict[str, str]:
+def _started(spark: SparkSession, path: str, base: int, day: _dt.date | None) -> tuple[int, _dt.date, _dt.datetime]:
+    """What the first start of this stream fixed; later starts read it."""
+    known = read_optional(spark, path, _RUN_SCHEMA).first()
+    if known is None:
+        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        spark.createDataFrame([(base, day or now.date(), now)], _RUN_SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+        known = spark.read.schema(_RUN_SCHEMA).parquet(path).first()
+    return known["batch_base"], known["log_day"], known["scored_at"]
+
+
+def run_request_stream(spark: SparkSession, source_dir: str, schema: T.StructType, rules: dict,
+                       keyed: Callable[[DataFrame], DataFrame], predict: Callable[[DataFrame], DataFrame],
+                       store, out_dir: str, request_id: str, max_files_per_trigger: int | None = None,
+                       batch_base: int | None = None, log_dir: str | None = None, log_day: _dt.date | None = None) -> dict[str, str]:
     """Score every request file under ``source_dir``.
 
-    ``store`` is a ``KeyedStore`` (looked up per micro-batch, so keys scored by an earlier batch
-    hit; misses are written as store batch ``batch_base + batch_id``) or a static DataFrame of
-    (hashed, prediction, ...) rows (misses then go to ``out_dir/store_added``).
-    Returns the output folders: ``results`` (request_id, hashed, hit, prediction), ``rejected``
-    (request_id, errors), ``store_added`` and ``log`` (requests that were scored)."""
-    paths = {k: f"{out_dir}/{k}" for k in ("results", "rejected", "store_added", "log", "_checkpoint")}
+    ``keyed`` adds ``hashed`` to valid requests; ``predict`` adds ``prediction`` to misses. ``store`` is a
+    ``KeyedStore`` (keys scored by an earlier batch hit; misses become store batch ``base + batch_id``;
+    the base is the store's next free id unless ``batch_base`` is given, which must not be below it) or a
+    static DataFrame of (hashed, prediction, ...) rows (misses then go to ``out_dir/store_added``).
+    Returns the folders: ``results`` (request_id, hashed, hit, prediction), ``rejected`` (request_id,
+    errors), ``store_added`` and ``log`` (requests that were scored, by day)."""
+    paths = {k: f"{out_dir}/{k}" for k in ("results", "rejected", "store_added", "log", "_checkpoint", "_started")}
+    paths["log"] = log_dir or paths["log"]
+    keyed_store = store if isinstance(store, KeyedStore) else None
+    free = keyed_store.next_batch() if keyed_store else 0
+    base, day, scored_at = _started(spark, paths["_started"], free if batch_base is None else batch_base, log_day)
+    if batch_base is not None and batch_base != base:
+        raise ValueError(f"this stream started with batch_base {base}")
+    if batch_base is not None and batch_base < free and not _has_commits(spark, paths["_checkpoint"]):
+        raise ValueError(f"batch_base {batch_base} is below the store's next free batch {free}")
     src = spark.readStream.schema(schema)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
     checked = validate(src.parquet(source_dir), rules)
-    keyed_store = store if isinstance(store, KeyedStore) else None
-    static = None if keyed_store else store.select("hashed", F.col("prediction").alias("_stored"))
+    static = None if keyed_store else materialize(store.select("hashed", F.col("prediction").alias("_stored")), "static-store")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         part = f"batch_id={batch_id}"
@@ -57,23 +86,21 @@ def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructT
         batch.where("NOT is_valid").select(request_id, F.concat_ws(";", "errors").alias("errors")) \
             .write.mode("overwrite").parquet(f"{paths['rejected']}/{part}")
         valid = batch.where("is_valid").drop("errors", "is_valid")
-        feats = scoring.keyed(pipeline.transform(valid), feature_cols)
-        joined = keyed_store.lookup(feats, "prediction") if keyed_store else feats.join(static, "hashed", "left")
+        feats = keyed(valid)
+        joined = keyed_store.lookup(feats, "prediction", before=base + batch_id) if keyed_store else feats.join(static, "hashed", "left")
         joined = joined.persist()
-        misses = scoring.predict(joined.where(F.col("_stored").isNull()), feature_cols, model, inverse)
+        misses = predict(joined.where(F.col("_stored").isNull()))
         hits = joined.where(F.col("_stored").isNotNull()).withColumn("prediction", F.col("_stored"))
         res = hits.select(request_id, "hashed", F.lit(True).alias("hit"), "prediction").unionByName(
             misses.select(request_id, "hashed", F.lit(False).alias("hit"), "prediction"))
         res.write.mode("overwrite").parquet(f"{paths['results']}/{part}")
         scored = spark.read.parquet(f"{paths['results']}/{part}").where("NOT hit")
-        added = scored.select("hashed", "prediction", F.current_timestamp().alias("scored_at"))
+        added = scored.select("hashed", "prediction", F.lit(scored_at).cast("timestamp").alias("scored_at"))
         if keyed_store:
-            keyed_store.write_batch(added, batch_base + batch_id)
+            keyed_store.write_batch(added.select(*keyed_store.schema.fieldNames()), base + batch_id)
         else:
             last_wins(added, ["hashed"], ["prediction"]).write.mode("overwrite").parquet(f"{paths['store_added']}/{part}")
-        valid.join(scored.select(request_id), request_id, "left_semi") \
-            .withColumn("request_date", F.current_date()) \
-            .write.mode("overwrite").parquet(f"{paths['log']}/{part}")
+        append_batch(valid.join(scored.select(request_id), request_id, "left_semi"), paths["log"], base + batch_id, day)
         joined.unpersist()
         batch.unpersist()
 
@@ -81,27 +108,34 @@ def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructT
     return paths
 
 
+def _has_commits(spark: SparkSession, checkpoint: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/offsets")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def score_request_stream(spark: SparkSession, source_dir: str, schema: T.StructType, rules: dict,
+                         pipeline: PipelineModel, feature_cols: list[str], model: GBTRegressionModel,
+                         store, out_dir: str, request_id: str, inverse: str = "exp", **options) -> dict[str, str]:
+    """``run_request_stream`` with a fitted feature pipeline and model; ``options`` are its options."""
+    return run_request_stream(
+        spark, source_dir, schema, rules, lambda df: scoring.keyed(pipeline.transform(df), feature_cols),
+        lambda df: scoring.predict(df, feature_cols, model, inverse), store, out_dir, request_id, **options)
+
+
 def stream_lookup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cache-aside lookup of event requests as a file stream (the batch ``lookup_or_score`` rule).
+    """Cache-aside lookup of event requests by ``run_request_stream`` (the batch ``lookup_or_score`` rule).
 
-    History before the cut builds the store; the later events are written as request files and
-    streamed through a stream-static join; per batch, misses are scored (exp of log1p of value).
+    History before the cut is the first batch of a keyed store; the later events are written as request
+    files and streamed; misses are scored (exp of log1p of value), stored and logged.
     """
     from valuemill.plans.registry import _store_and_requests
-    store, requests = _store_and_requests(spark, sf_dir)
+    history, requests = _store_and_requests(spark, sf_dir)
+    store = KeyedStore(spark, scratch_path(spark, "event-store"), "hashed", scoring.STORE_SCHEMA, order=["scored_at", "prediction"])
+    store.write_batch(history.select("hashed", "prediction", F.lit("2024-01-01").cast("timestamp").alias("scored_at")), 0)
     src = scratch_path(spark, "event-requests")
     requests.repartition(4).write.parquet(src)
-    out = scratch_path(spark, "event-stream")
-    lookup = store.select("hashed", F.col("prediction").alias("_stored"))
-    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 2).parquet(src)
-    joined = stream.join(lookup, "hashed", "left")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        hit = F.col("_stored").isNotNull()
-        score = numeric.label_inverse(numeric.label_log("value"), "exp")
-        batch.select("event_id", "hashed", hit.alias("hit"), F.when(hit, F.col("_stored")).otherwise(score).alias("prediction")) \
-            .write.mode("overwrite").parquet(f"{out}/results/batch_id={batch_id}")
-
-    _run(joined.writeStream.foreachBatch(handle), f"{out}/_checkpoint")
-    res = spark.read.parquet(f"{out}/results")
-    return res.select("event_id", "hashed", "hit", numeric.round6("prediction").alias("prediction"))
+    score = numeric.label_inverse(numeric.label_log("value"), "exp")
+    paths = run_request_stream(spark, src, requests.schema, {"event_id_missing": F.col("event_id").isNotNull()},
+                               lambda df: df, lambda df: df.withColumn("prediction", score),
+                               store, scratch_path(spark, "event-stream"), "event_id")
+    return spark.read.parquet(paths["results"]).select("event_id", "hashed", "hit", numeric.round6("prediction").alias("prediction"))
