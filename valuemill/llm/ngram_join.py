@@ -1,15 +1,18 @@
 """N-gram Jaccard join with a prefix tree.
 
-1. Every whole text becomes its set of word 5-grams (64-bit hashes). Equal sets are found by a 128-bit
-   digest. All sets are in one global order: hash order, n-grams that many documents share last.
-2. Sets with Jaccard >= 0.75 share one of the first n - ceil(0.75 n) + 1 members of either. Sets that do,
-   and whose sizes allow a link, are tied; components of those ties are the units of work.
-3. In a unit the ordered sets form a compressed prefix tree. A probe goes down the tree with the overlap
-   counted so far, shared by all sets below a node; a subtree is left when the overlap plus what
-   remains on either side cannot reach any of its sets' bounds. Once sets are linked with one another they
-   need no probe among themselves.
-
-Large units are cut into blocks that meet pairwise. Components of the verified links are the result.
+1. Every whole text becomes its set of word 5-grams (64-bit hashes). Rows with one 128-bit digest have one set,
+   which goes on once.
+2. A set's first 0.4 n + 1 members in hash order meet those of all other sets, by member. Linked sets have at least
+   0.05 n of them in common (see ``LEAD``), so a set with fewer shared members has no link. Most sets end here.
+3. The whole sets of the rest meet by member. What no other set of a size that allows a link has is
+   dropped; a set keeps going if 0.75 n members are left. Of these, the rarest first, the first 0.25 n + 1
+   (dropped ones counted) tie sets together; components of the ties are the units of work.
+4. In a unit the sets, all in hash order, form a compressed prefix tree. A probe goes down the tree with the
+   overlap counted so far, shared by all sets below a node; a subtree is left when the overlap plus what
+   remains on either side cannot reach any of its sets' bounds. Sets that are linked with one
+   probe need no probes among themselves. Large units are cut into blocks that meet pairwise.
+
+Components of the verified links are the result.
 """
 
 from __future__ import annotations
@@ -25,11 +28,14 @@ from valuemill.llm.common import blocks, mix64, utf8_block, word_hashes
 from valuemill.llm.graph import components
 from valuemill.session import materialize
 
-#: Words of an n-gram; documents of one batch that make an n-gram common; common n-grams that the order knows (8 bytes each);
-#: n-grams of a bundle of units or of a block of a large unit.
-WORDS, COMMON_FROM, COMMON_KEPT, UNIT = 5, 8, 1 << 18, 1 << 22
+#: Words of an n-gram; n-grams of a bundle of units or of a block of a large unit.
+WORDS, UNIT = 5, 1 << 22
 #: A link needs PART * intersection >= SHARE * union.
 SHARE, PART = 75, 100
+#: Share of a set, in percent, that meets others in the first step, and of which share of the set, in percent, any partner has to be met there.
+#: With sizes s and t, 3/4 <= t/s <= 4/3, a link needs i >= 3/7 (s + t). Of the first q members of the one set, at least q - (s - i) are in
+#: the other, each before its place q + (t - i); with q = 0.4 t - (t - i) that is inside the other's lead, and q - (s - i) >= 9/35 t - 1/7 s >= 0.05 s.
+LEAD, MET = 40, 5
 _WEIGHTS = mix64(np.arange(1, WORDS + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
 
@@ -66,95 +72,138 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
         yield batch, [s for i, j in blocks(offsets) for s in ngram_sets(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])]
 
 
-def summaries(docs: DataFrame) -> DataFrame:
-    """A row (id, n, a, b, count null) for each document: size and digest of its set; and a row (a, count) for each n-gram
-    that at least COMMON_FROM different sets of one batch share."""
+def digests(docs: DataFrame) -> DataFrame:
+    """(id, n, a, b) of each document: the size of its set and its digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches):
-            digests = [_digest(s) for s in sets]
-            once = list({d: s for d, s in zip(digests, sets, strict=True)}.values())
-            every = np.sort(np.concatenate(once)) if once else np.zeros(0, np.uint64)
-            starts = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]])) if len(every) else np.zeros(0, np.int64)
-            count = np.diff(np.append(starts, len(every)))
-            common = count >= COMMON_FROM
-            n, m = len(sets), int(common.sum())
-            yield pa.RecordBatch.from_arrays([
-                pa.concat_arrays([batch.column("id"), pa.nulls(m, pa.int64())]), pa.array([len(s) for s in sets] + [None] * m, pa.int64()),
-                pa.array(np.concatenate([np.array([d[0] for d in digests], np.int64), every[starts[common]].view(np.int64)])),
-                pa.array([d[1] for d in digests] + [None] * m, pa.int64()), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(count[common], pa.int64())])],
-                ["id", "n", "a", "b", "count"])
-
-    return docs.mapInArrow(run, "id long, n long, a long, b long, count long")
-
-
-def common_ngrams(summary: DataFrame, kept: int = COMMON_KEPT) -> np.ndarray:
-    """The n-grams found in most documents, sorted: at most ``kept``. They only put the order right; links don't depend on them."""
-    rows = (summary.where("count is not null").groupBy("a").agg(F.sum("count").alias("count"))
-            .orderBy(F.col("count").desc(), "a").limit(kept).select("a").toArrow())
-    return np.sort(rows.column("a").to_numpy().astype(np.int64).view(np.uint64))
-
-
-def ordered(own: np.ndarray, common: np.ndarray) -> np.ndarray:
-    """A sorted set in the global order: common n-grams last."""
-    if not len(common) or not len(own):
-        return own
-    late = common[np.minimum(np.searchsorted(common, own), len(common) - 1)] == own
-    return np.concatenate([own[~late], own[late]])
-
-
-def prefixes(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(gram, id, n) for each member of the prefix of each set; copies within a batch go once, under their least id."""
+            found = [_digest(s) for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in found], pa.int64()),
+                                              pa.array([b for _, b in found], pa.int64())], ["id", "n", "a", "b"])
+
+    return docs.mapInArrow(run, "id long, n long, a long, b long")
+
+
+def _members(docs: DataFrame, lead: bool) -> DataFrame:
+    """(gram, a, n) for each member, or each leading member, of the sets of ``docs``; equal sets of a batch go once.
+
+    Leading members are cut to 48 bits: a false meeting can only keep a set for the next step.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches):
-            least: dict = {}
-            for i, s in zip(batch.column("id").to_pylist(), sets, strict=True):
-                if i is not None and len(s):
-                    d = _digest(s)
-                    if d not in least or i < least[d][0]:
-                        least[d] = (i, s)
-            heads = [(i, len(s), ordered(s, common)[:len(s) - -(-SHARE * len(s) // PART) + 1]) for i, s in least.values()]
-            if heads:
-                each = [len(h) for _, _, h in heads]
+            once = {_digest(s): s for s in sets if len(s)}
+            for at in range(0, len(once), 1024):
+                part = list(once.items())[at:at + 1024]
+                heads = [s[:LEAD * len(s) // 100 + 1] & np.uint64(0xFFFFFFFFFFFF0000) if lead else s for _, s in part]
+                each = [len(h) for h in heads]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([h for _, _, h in heads]).view(np.int64)), pa.array(np.repeat([i for i, _, _ in heads], each), pa.int64()),
-                    pa.array(np.repeat([n for _, n, _ in heads], each), pa.int32())], ["gram", "id", "n"])
+                    pa.array(np.concatenate(heads).view(np.int64)), pa.array(np.repeat(np.array([d[0] for d, _ in part], np.int64), each)),
+                    pa.array(np.repeat(np.array([len(s) for _, s in part], np.int32), each))], ["gram", "a", "n"])
 
-    return docs.mapInArrow(run, "gram long, id long, n int")
+    return docs.mapInArrow(run, "gram long, a long, n int")
 
 
-def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Ties each set to the least id of its run: sets with one prefix member whose neighbouring sizes allow a link."""
+def _meetings(batches: Iterator[pa.RecordBatch]):
+    """All rows (gram, a, n) of a partition in the order of gram and n, each once; the number of its run; the number of rows of its run.
+
+    A run: sets with one member whose neighbouring sizes allow a link.
+    """
     parts = [[b.column(k).to_numpy() for k in range(3)] for b in batches]
     if not parts:
-        return
-    gram, ident, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return None
+    gram, a, n = (np.concatenate(x) for x in zip(*parts, strict=True))
     del parts
     order = np.argsort(gram, kind="stable")
     gram = gram[order]
     twin = np.zeros(len(gram) + 1, bool)
     twin[1:-1] = gram[1:] == gram[:-1]
-    some = twin[1:] | twin[:-1]  # an n-gram of a single set ties nothing
-    order, gram = order[some], gram[some]
-    ident, n = ident[order], n[order].astype(np.int64)
-    order = np.lexsort((n, gram))
-    gram, ident, n = gram[order], ident[order], n[order]
-    if not len(gram):
-        return
+    some = twin[1:] | twin[:-1]  # a member of a single set meets nothing
+    gram, order = gram[some], order[some]
+    a, n = a[order], n[order].astype(np.int64)
+    order = np.lexsort((a, n, gram))
+    gram, a, n = gram[order], a[order], n[order]
+    once = np.ones(len(gram), bool)
+    once[1:] = (gram[1:] != gram[:-1]) | (a[1:] != a[:-1]) | (n[1:] != n[:-1])
+    gram, a, n = gram[once], a[once], n[once]
     fresh = np.ones(len(gram), bool)
     fresh[1:] = (gram[1:] != gram[:-1]) | (PART * n[:-1] < SHARE * n[1:])
     run = np.cumsum(fresh) - 1
-    least = np.minimum.reduceat(ident, np.flatnonzero(fresh))[run]
-    pairs = np.unique(np.stack([ident, least], axis=1)[ident != least], axis=0)
-    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
+    size = np.bincount(run)[run] if len(run) else run
+    met = size > 1
+    return gram[met], a[met], n[met], run[met], size[met]
+
+
+def _count_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, n, met): in how many members of this partition a set meets another."""
+    if (found := _meetings(batches)) is not None and len(found[0]):
+        _, a, n, _, _ = found
+        order = np.argsort(a, kind="stable")
+        a, n = a[order], n[order]
+        at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (n[1:] != n[:-1])]))
+        yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(n[at]), pa.array(np.diff(np.append(at, len(a))))], ["a", "n", "met"])
+
+
+def _keep_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, a, n, sets): members in which a set meets another, and how many sets meet in the member's largest run."""
+    if (found := _meetings(batches)) is not None and len(found[0]):
+        gram, a, n, _, size = found
+        at = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]]))
+        most = np.repeat(np.maximum.reduceat(size, at), np.diff(np.append(at, len(gram))))
+        for k in range(0, len(gram), 1 << 18):
+            p = slice(k, k + (1 << 18))
+            yield pa.RecordBatch.from_arrays([pa.array(gram[p]), pa.array(a[p]), pa.array(n[p]), pa.array(most[p])], ["gram", "a", "n", "sets"])
+
+
+def _collect_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, n, members, first): the met members of each set in hash order, and those of its prefix, rarest first; of sets that met in enough members."""
+    parts = [[b.column(k).to_numpy() for k in range(4)] for b in batches]
+    if not parts:
+        return
+    gram, a, n, sets = (np.concatenate(x) for x in zip(*parts, strict=True))
+    gram = gram.view(np.uint64)
+    order = np.lexsort((gram, sets, n, a))
+    gram, a, n = gram[order], a[order], n[order]
+    at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (n[1:] != n[:-1])])).tolist()
+    rows = []
+    for i, j in zip(at, [*at[1:], len(a)], strict=True):
+        size, met = int(n[i]), j - i
+        if PART * met >= SHARE * size:
+            prefix = size - -(-SHARE * size // PART) + 1 - (size - met)
+            rows.append((int(a[i]), size, np.sort(gram[i:j]).tobytes(), gram[i:i + max(0, prefix)].tobytes()))
+    for k in range(0, len(rows), 1024):
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows[k:k + 1024], strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)],
+                                         ["a", "n", "members", "first"])
+
+
+def _unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        first = [np.frombuffer(x, np.int64) for x in batch.column("first").to_pylist()]
+        each = [len(x) for x in first]
+        if sum(each):
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first)), pa.array(np.repeat(batch.column("a").to_numpy(), each)),
+                                              pa.array(np.repeat(batch.column("n").to_numpy(), each).astype(np.int32))], ["gram", "a", "n"])
+
+
+def _ties(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ties each set to the least of its run."""
+    if (found := _meetings(batches)) is not None and len(found[0]):
+        _, a, _, run, _ = found
+        at = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
+        least = np.repeat(np.minimum.reduceat(a, at), np.diff(np.append(at, len(a))))
+        pairs = np.unique(np.stack([a, least], axis=1)[a != least], axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["u", "v"])
 
 
 class PrefixTree:
-    """Compressed prefix tree over ordered sets of small integers; a node holds a run of members that all sets below share."""
+    """Compressed prefix tree over ordered sets of small integers; a node holds a run of members that all sets below share.
+
+    ``sizes``: of the whole sets, where members that no other set has were left out.
+    """
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], sizes: list[int] | None = None):
         keys = [s.astype(">u4").tobytes() for s in sets]
         self.order = sorted(range(len(sets)), key=keys.__getitem__)
-        self.size = np.array([len(sets[i]) for i in self.order])
+        self.size = np.array([len(sets[i]) if sizes is None else sizes[i] for i in self.order])
+        held = [len(sets[i]) for i in self.order]
         flat, begin, end, parent, leaf = [], [], [], [], []
         shared = [0]
         for a, b in zip(self.order, self.order[1:], strict=False):
@@ -193,10 +242,10 @@ class PrefixTree:
         self.depth = np.zeros(len(begin), np.int64)
         for x in range(len(begin)):
             self.depth[x] = (self.depth[parent[x]] if parent[x] >= 0 else 0) + end[x] - begin[x]
-        self.least, self.most = np.full(len(begin), 1 << 60), np.zeros(len(begin), np.int64)  # sizes of the sets below
+        self.least, self.most = np.full(len(begin), 1 << 60), np.zeros(len(begin), np.int64)  # least size and most members of the sets below
         for x in range(len(begin) - 1, -1, -1):
             for k in leaf[x]:
-                self.least[x], self.most[x] = min(self.least[x], self.size[k]), max(self.most[x], self.size[k])
+                self.least[x], self.most[x] = min(self.least[x], self.size[k]), max(self.most[x], held[k])
             if parent[x] >= 0:
                 p = parent[x]
                 self.least[p], self.most[p] = min(self.least[p], self.least[x]), max(self.most[p], self.most[x])
@@ -205,24 +254,23 @@ class PrefixTree:
         self.child_to = np.searchsorted(self.parent[first], np.arange(-1, len(begin)), side="right")
         self.children = first
 
-    def linked(self, probe: np.ndarray, hit: np.ndarray) -> list[int]:
-        """Positions in ``order`` of the sets with enough overlap; ``hit``: all False, as long as there are members, and left so."""
+    def linked(self, probe: np.ndarray, hit: np.ndarray, n: int | None = None) -> list[int]:
+        """Positions in ``order`` of the sets with enough overlap with a set of size ``n``; ``hit``: all False, as long as there are members, and left so."""
         hit[probe] = True
-        found, n = [], len(probe)
-        nodes, overlap = self.children[self.child_from[0]:self.child_to[0]], np.zeros(1, np.int64)
+        found, n = [], len(probe) if n is None else n
+        nodes = self.children[self.child_from[0]:self.child_to[0]]
         overlap = np.zeros(len(nodes), np.int64)
         while len(nodes):
             length = self.end[nodes] - self.begin[nodes]
             ends = np.cumsum(length)
             spots = np.arange(ends[-1]) + np.repeat(self.begin[nodes] - (ends - length), length)
             overlap = overlap + np.add.reduceat(hit[self.flat[spots]].astype(np.int64), ends - length)
-            left = np.minimum(n - np.searchsorted(probe, self.flat[self.end[nodes] - 1], side="right"), self.most[nodes] - self.depth[nodes])
+            left = np.minimum(len(probe) - np.searchsorted(probe, self.flat[self.end[nodes] - 1], side="right"), self.most[nodes] - self.depth[nodes])
             # The bound is least for the smallest set below: PART * i >= SHARE * (n + m - i).
             alive = (PART + SHARE) * (overlap + left) >= SHARE * (n + np.maximum(self.least[nodes], -(-SHARE * n // PART)))
             nodes, overlap = nodes[alive], overlap[alive]
             for x, o in zip(nodes.tolist(), overlap.tolist(), strict=True):
-                if self.leaf[x] and (PART + SHARE) * o >= SHARE * (n + int(self.depth[x])):
-                    found += self.leaf[x]
+                found += [k for k in self.leaf[x] if (PART + SHARE) * o >= SHARE * (n + int(self.size[k]))]
             a, b = self.child_from[nodes + 1], self.child_to[nodes + 1]
             total = b - a
             overlap = np.repeat(overlap, total)
@@ -231,13 +279,13 @@ class PrefixTree:
         return found
 
 
-def link_unit(idents: list[int], sets: list[np.ndarray], own: list[bool] | None = None) -> list[tuple[int, int]]:
-    """(id, least id of its part) for the sets of a unit (in global order) whose links join them to others.
+def link_unit(names: list[int], sets: list[np.ndarray], sizes: list[int], own: list[bool] | None = None) -> list[tuple[int, int]]:
+    """(name, least name of its part) for the sets of a unit (members in hash order) whose links join them to others.
 
     ``own``: sets of the first of two blocks; then only links between the blocks are looked for.
     """
-    members = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-    place: dict[bytes, int] = {}
+    members = np.unique(np.concatenate(sets))
+    ranked = [np.searchsorted(members, s) for s in sets]
     root = list(range(len(sets)))
 
     def find(i: int) -> int:
@@ -246,98 +294,74 @@ def link_unit(idents: list[int], sets: list[np.ndarray], own: list[bool] | None
             i = root[i]
         return i
 
-    def join(i: int, j: int) -> None:
-        i, j = find(i), find(j)
-        if i != j:
-            root[max(i, j)] = min(i, j)
-
-    # The global order as ranks: by first appearance it would depend on the unit, so rank by (late, hash) of the sets themselves.
-    late = np.zeros(len(members), bool)
-    ranked = [np.searchsorted(members, s) for s in sets]
-    for r in ranked:
-        if len(r) > 1 and (falls := np.flatnonzero(np.diff(r) < 0)).size:
-            late[r[falls[0] + 1:]] = True
-    rank = np.empty(len(members), np.int64)
-    rank[np.lexsort((np.arange(len(members)), late))] = np.arange(len(members))
-    ranked = [np.sort(rank[r]) for r in ranked]
-    distinct = []
-    for i, r in enumerate(ranked):
-        j = place.setdefault(r.tobytes(), i)
-        if j == i:
-            distinct.append(i)
-        else:
-            join(i, j)
-    if own is None:
-        tree, probes = PrefixTree([ranked[i] for i in distinct]), distinct
-        target = distinct
-    else:
-        target = [i for i in distinct if own[i]]
-        probes = [i for i in distinct if not own[i]]
-        tree = PrefixTree([ranked[i] for i in target])
-    hit, covered = np.zeros(len(members), bool), set()
+    target = [i for i in range(len(sets)) if own is None or own[i]]
+    probes = target if own is None else [i for i in range(len(sets)) if not own[i]]
+    tree = PrefixTree([ranked[i] for i in target], [sizes[i] for i in target])
+    hit, covered = np.zeros(len(members), bool), None
     for i in probes:
-        if own is None and i in covered and covered:
+        if covered is not None and i in covered:
             continue
-        linked = [target[tree.order[k]] for k in tree.linked(ranked[i], hit)]
+        linked = [target[tree.order[k]] for k in tree.linked(ranked[i], hit, sizes[i])]
         for j in linked:
-            join(i, j)
-        if own is None and not covered:
-            covered = set(linked)  # linked with the first probe: all pairs among them are joined already
-    groups: dict[int, list[int]] = {}
+            x, y = find(i), find(j)
+            root[max(x, y)] = min(x, y)
+        if own is None and covered is None:
+            covered = set(linked)  # linked with the first probe, so joined with one another already
+    parts: dict[int, list[int]] = {}
     for i in range(len(sets)):
-        groups.setdefault(find(i), []).append(idents[i])
-    return [(x, min(g)) for g in groups.values() if len(g) > 1 for x in set(g) if x != min(g)]
-
-
-def _pack(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, sets in _sets(batches):
-            for a in range(0, len(sets), 1024):
-                part = batch.slice(a, 1024)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("component"), part.column("parts"),
-                                                  pa.array([ordered(s, common).tobytes() for s in sets[a:a + 1024]], pa.binary())], ["id", "component", "parts", "grams"])
-    return docs.mapInArrow(run, "id long, component long, parts int, grams binary")
+        parts.setdefault(find(i), []).append(names[i])
+    return [(x, min(p)) for p in parts.values() for x in p if x != min(p)]
 
 
 def _link_units(batch: pa.Table) -> pa.Table:
     by: dict[tuple, list[int]] = {}
     for row, key in enumerate(zip(batch.column("component").to_pylist(), batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True)):
         by.setdefault(key, []).append(row)
-    idents, grams, block = batch.column("id").to_pylist(), batch.column("grams").to_pylist(), batch.column("block").to_pylist()
+    names, members, block, sizes = (batch.column(c).to_pylist() for c in ("a", "members", "block", "n"))
     links = []
     for (_, one, two), rows in by.items():
-        sets = [np.frombuffer(grams[r], np.uint64) for r in rows]
-        links += link_unit([idents[r] for r in rows], sets, None if one == two else [block[r] == one for r in rows])
+        own = None if one == two else [block[r] == one for r in rows]
+        if len(rows) > 1 and (own is None or 0 < sum(own) < len(own)):
+            links += link_unit([names[r] for r in rows], [np.frombuffer(members[r], np.uint64) for r in rows], [sizes[r] for r in rows], own)
     return pa.table({"u": pa.array([a for a, _ in links], pa.int64()), "v": pa.array([b for _, b in links], pa.int64())})
 
 
+def near_links(docs: DataFrame, each: DataFrame) -> DataFrame:
+    """(u, v): links between sets, named by digest ``a``, that join all linked sets. ``docs``: id, text; ``each``: their ``digests``."""
+    met = _members(docs, lead=True).repartition("gram").mapInArrow(_count_met, "a long, n long, met long")
+    going = materialize(met.groupBy("a", "n").agg(F.sum("met").alias("met")).where(100 * F.col("met") >= MET * F.col("n")).select("a"), "ngram-going")
+    rows = each.where("id is not null").groupBy("a", "b", "n").agg(F.min("id").alias("row")).join(going, "a", "left_semi").select("row")
+    rest = docs.join(rows, F.col("id") == F.col("row"), "left_semi")
+    kept = materialize(_members(rest, lead=False).repartition("gram").mapInArrow(_keep_met, "gram long, a long, n long, sets long")
+                       .repartition("a").mapInArrow(_collect_sets, "a long, n long, members binary, first binary"), "ngram-sets")
+    ties = kept.select("a", "n", "first").mapInArrow(_unfold, "gram long, a long, n int").repartition("gram").mapInArrow(_ties, "u long, v long")
+    unit = components(ties)
+    sized = unit.join(kept.select("a", "n", (F.length("members") / 8).cast("long").alias("held")), F.col("node") == F.col("a"))
+    sizes = materialize(sized.groupBy("component").agg(F.sum("held").alias("held")).select("component", "held", F.ceil(F.col("held") / UNIT).cast("int").alias("parts")), "ngram-units")
+    bundles = max(1, -(-int(sizes.where("parts <= 1").agg(F.sum("held")).first()[0] or 0) // UNIT))
+    chosen = unit.join(sizes.select("component", "parts"), "component").select("node", "component", F.greatest("parts", F.lit(1)).alias("parts"))
+    # Blocks (one, two) with one <= two of a large unit; a small unit is the block (0, 0) and shares its bundle with others.
+    others = F.sequence(F.lit(0), F.col("parts") - 1)
+    met_in = F.transform(others, lambda k: F.struct(F.least(k, F.col("block")).alias("one"), F.greatest(k, F.col("block")).alias("two")))
+    placed = (kept.drop("first").join(chosen, F.col("a") == F.col("node")).withColumn("block", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+              .withColumn("met", F.explode(met_in)).select("a", "n", "members", "component", "parts", "block", "met.one", "met.two")
+              .withColumn("bundle", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component", "one", "two"))))
+    return placed.drop("parts").groupBy("bundle").applyInArrow(_link_units, "u long, v long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles and component_id (least id that links reach) of every row.
 
     Words are runs of bytes other than blank and 9 to 13, A-Z in lower case. Null and empty texts have no
-    set and link with nothing; rows that share an id are one node; a row with a null id has a null component;
-    an empty table gives no rows. Other columns are ignored.
+    set and link with nothing. Every row is a document, also those that share an id; a row with a null id
+    has the component of the rows with an id that have its very set, else its links are not followed and the component is null. An empty
+    table gives no rows. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
-    summary = materialize(summaries(docs), "ngram-summaries")
-    each = summary.where("n is not null").select("id", "n", "a", "b")
-    common = common_ngrams(summary)
-    ties = materialize(prefixes(docs, common).repartition("gram").mapInArrow(_ties, "u long, v long").distinct(), "ngram-ties")
-    unit = components(ties)
-    sized = unit.join(each.where("n > 0").groupBy("id").agg(F.sum("n").alias("n")), F.col("node") == F.col("id")).select("id", "component", "n")
-    sizes = sized.groupBy("component").agg(F.sum("n").alias("total")).select("component", F.ceil(F.col("total") / UNIT).cast("int").alias("parts"), "total")
-    sizes = materialize(sizes, "ngram-units")
-    bundles = max(1, -(-int(sizes.where("parts = 1").agg(F.sum("total")).first()[0] or 0) // UNIT))
-    chosen = unit.join(sizes.select("component", "parts"), "component").select(F.col("node"), "component", "parts")
-    packed = _pack(docs.join(chosen, F.col("id") == F.col("node")).select("id", "text", "component", "parts"), common)
-    # Blocks (one, two) with one <= two of a large unit; a small unit is the block (0, 0) and shares its bundle with others.
-    met = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: F.struct(F.least(k, F.col("block")).alias("one"), F.greatest(k, F.col("block")).alias("two")))
-    placed = (packed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("met", F.explode(met))
-              .select("id", "component", "parts", "grams", "block", "met.one", "met.two")
-              .withColumn("bundle", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component", "one", "two"))))
-    links = placed.drop("parts").groupBy("bundle").applyInArrow(_link_units, "u long, v long")
-    least = each.where("n > 0 and id is not null").groupBy("a", "b", "n").agg(F.min("id").alias("v"))
-    copies = each.join(least, ["a", "b", "n"]).where("id > v").select(F.col("id").alias("u"), "v")
-    found = components(links.unionByName(copies))
-    return each.join(found, F.col("id") == F.col("node"), "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    each = materialize(digests(docs), "ngram-digests")
+    found = components(near_links(docs, each))
+    least = each.where("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("least")).join(found, F.col("a") == F.col("node"), "left")
+    whole = least.where("component is not null").groupBy("component").agg(F.min("least").alias("first")).withColumnRenamed("component", "whole")
+    named = least.join(whole, F.col("component") == F.col("whole"), "left").select("a", "b", "n", F.coalesce("first", "least").alias("component_id"))
+    return each.join(named, ["a", "b", "n"], "left").select(
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
