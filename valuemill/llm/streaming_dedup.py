@@ -15,12 +15,14 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.session import scratch_path
+from valuemill.session import materialize, scratch_path
 
 #: Bytes that one micro-batch reads.
 BATCH_BYTES = 1 << 30
 _STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+          "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+          # Without it, each of the many small stores takes megabytes of disk in advance.
+          "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}
 
 
 @contextmanager
@@ -83,15 +85,16 @@ class StreamingDedup:
         low = F.coalesce("id", F.lit(-(1 << 63)))
         hits = entries.where("n > 1").select("digest")
         # The bytes of the hits, grouped by themselves: one group for each digest unless two texts share it.
-        bodies = docs.join(hits, "digest").groupBy("digest", "body").agg(F.count("*").alias("n"), F.max(low).alias("keep_id"))
-        clashing = bodies.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select("digest")
-        apart = bodies.join(clashing, "digest").select("digest", F.col("body").alias("own_body"), F.col("n").alias("own_n"), F.col("keep_id").alias("own_keep"))
-        rows = docs.join(clashing.withColumn("clash", F.lit(True)), "digest", "left")
-        plain = rows.where("clash is null").select("id", "digest").join(entries.select("digest", "n", "keep_id"), "digest")
-        mixed = (rows.where("clash").join(apart.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("body") == F.col("own_body")))
-                 .select("id", "digest", F.col("own_n").alias("n"), F.col("own_keep").alias("keep_id")))
+        bodies = docs.join(hits, "digest").groupBy("digest", "body").agg(F.count("*").alias("own_n"), F.max(low).alias("own_keep"))
+        clashing = materialize(bodies.groupBy("digest").agg(F.count("*").alias("texts")).where("texts > 1").select("digest"), "digest-clashes")
+        rows = docs.select("id", "digest").join(entries.select("digest", "n", "keep_id"), "digest")
+        if not clashing.isEmpty():  # then their bytes are read again
+            apart = bodies.join(clashing, "digest").select(F.col("digest").alias("d"), F.col("body").alias("own_body"), "own_n", "own_keep")
+            mixed = (docs.join(clashing, "digest").join(apart, (F.col("digest") == F.col("d")) & (F.col("body") == F.col("own_body")))
+                     .select("digest", "id", F.col("own_n").alias("n"), F.col("own_keep").alias("keep_id")))
+            rows = rows.join(clashing, "digest", "left_anti").unionByName(mixed)
         null_id = F.lit(-(1 << 63))
-        return plain.select("id", "digest", "n", "keep_id").unionByName(mixed).select(
+        return rows.select(
             F.col("id").alias("doc_id"), F.nullif("keep_id", null_id).alias("keep_id"), F.col("n").alias("group_size"),
             (low == F.col("keep_id")).alias("kept"), F.col("digest").alias("text_sha256"))
 
