@@ -204,3 +204,45 @@ FROM q LEFT JOIN n ON q.hashed = n.hashed"""
 
 # The streaming lookup returns what the batch lookup returns.
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]
+
+ORACLE_SQL["csv_documents"] = "SELECT * FROM documents"
+ORACLE_SQL["validate_car_requests"] = f"""WITH raw AS (SELECT {cars.RAW_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey),
+r AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN seats + 0.5 ELSE seats END AS seats,
+                        CASE WHEN l_orderkey % 9 = 0 THEN 'Steam' ELSE fuel END AS fuel) FROM raw),
+e AS (SELECT l_orderkey, l_linenumber, concat_ws(';',
+  CASE WHEN name IS NULL THEN 'name_missing' END, CASE WHEN year IS NULL THEN 'year_missing' END,
+  CASE WHEN km_driven IS NULL THEN 'km_driven_missing' END, CASE WHEN fuel IS NULL THEN 'fuel_missing' END,
+  CASE WHEN seller_type IS NULL THEN 'seller_type_missing' END, CASE WHEN transmission IS NULL THEN 'transmission_missing' END,
+  CASE WHEN owner IS NULL THEN 'owner_missing' END, CASE WHEN mileage IS NULL THEN 'mileage_missing' END,
+  CASE WHEN engine IS NULL THEN 'engine_missing' END, CASE WHEN max_power IS NULL THEN 'max_power_missing' END,
+  CASE WHEN torque IS NULL THEN 'torque_missing' END, CASE WHEN seats IS NULL THEN 'seats_missing' END,
+  CASE WHEN seats = floor(seats) THEN NULL ELSE 'seats_not_int' END,
+  CASE WHEN fuel IN ('Diesel', 'Petrol', 'LPG', 'CNG') THEN NULL ELSE 'fuel_not_allowed' END,
+  CASE WHEN seller_type IN ('Dealer', 'Individual', 'Trustmark Dealer') THEN NULL ELSE 'seller_type_not_allowed' END,
+  CASE WHEN transmission IN ('Manual', 'Automatic') THEN NULL ELSE 'transmission_not_allowed' END,
+  CASE WHEN owner IN ('First Owner', 'Second Owner', 'Third Owner', 'Fourth & Above Owner', 'Test Drive Car') THEN NULL ELSE 'owner_not_allowed' END) AS errors FROM r)
+SELECT l_orderkey, l_linenumber, errors, errors = '' AS is_valid FROM e"""
+
+_GAPPY = ["seats", "mileage_kmpl", "engine_cc", "max_power_bhp", "torque_peak_power", "torque_peak_speed"]
+_NUMERIC = ["year", "km_driven", "owner"] + _GAPPY
+# Every number comes from the columns that the raw texts were made of, not from parsing them.
+ORACLE_SQL["feature_build_mean"] = f"""
+WITH raw AS (SELECT {cars.RAW_SELECT_SQL}, CAST(l_quantity AS BIGINT) AS q, l_partkey AS p, l_discount AS d, p_size, p_retailprice FROM lineitem JOIN part ON l_partkey = p_partkey),
+one AS (SELECT * FROM raw QUALIFY row_number() OVER (PARTITION BY {_RAW_COLS} ORDER BY l_orderkey DESC, l_linenumber DESC, request_ts DESC) = 1),
+x AS (SELECT l_orderkey, l_linenumber,
+  CASE WHEN substr(sha256(l_orderkey || '|' || l_linenumber), 1, 8) < '4ccccccd' THEN 'test' ELSE 'train' END AS split,
+  CAST(year AS DOUBLE) AS year, CAST(km_driven AS DOUBLE) AS km_driven,
+  CAST(CASE WHEN l_linenumber <= 5 THEN l_linenumber ELSE 1 END AS DOUBLE) AS owner, seats,
+  CAST(CASE WHEN l_orderkey % 11 = 0 THEN NULL WHEN p % 4 IN (0, 1) THEN 10 + round(d * 100) + (p % 10) / 10.0 ELSE (15 + p_size % 10) * 1.39 END AS DOUBLE) AS mileage_kmpl,
+  CASE WHEN l_orderkey % 13 = 0 THEN NULL ELSE CAST(600 + p_size * 50 AS DOUBLE) END AS engine_cc,
+  CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE CAST(floor(p_retailprice / 10) AS DOUBLE) END AS max_power_bhp,
+  CAST(CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_linenumber = 1 THEN q * 5 WHEN l_linenumber = 2 THEN (q + (p % 10) / 10.0) * 9.81 WHEN l_linenumber = 3 THEN q * 4
+       WHEN l_linenumber = 4 THEN q * 10 * 9.81 WHEN l_linenumber = 5 THEN q * 6 WHEN l_linenumber = 6 THEN q * 9.81 ELSE q * 3 END AS DOUBLE) AS torque_peak_power,
+  CAST(CASE WHEN l_orderkey % 23 = 0 THEN NULL WHEN l_linenumber = 1 THEN 1500 + p % 3000 WHEN l_linenumber = 2 THEN 2000 + p % 2500 WHEN l_linenumber = 3 THEN 2500 + p % 1000
+       WHEN l_linenumber = 4 THEN 2000 + p % 2000 WHEN l_linenumber = 5 THEN 1000 + p % 4000 WHEN l_linenumber = 6 THEN (1 + p % 3) * 1000 + 100 + p % 900
+       ELSE 1000 + p % 3000 END AS DOUBLE) AS torque_peak_speed FROM one),
+m AS (SELECT {", ".join(f"avg({c}) AS m_{c}" for c in _GAPPY)} FROM x WHERE split = 'train'),
+f AS (SELECT l_orderkey, l_linenumber, split, year, km_driven, owner, round_even(coalesce(seats, m_seats), 0) AS seats,
+  {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _GAPPY if c != "seats")} FROM x, m),
+s AS (SELECT {", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in _NUMERIC)} FROM f WHERE split = 'train')
+SELECT l_orderkey, l_linenumber, split, {", ".join(f"round(({c} - a_{c}) / CASE WHEN s_{c} < {CONST_STD} THEN 1 ELSE s_{c} END, 6) AS {c}" for c in _NUMERIC)} FROM f, s"""

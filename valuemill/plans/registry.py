@@ -392,6 +392,14 @@ def q_csv_round_trip(spark, sf_dir):
     return read_csv(spark, path, n.schema)
 
 
+def q_csv_documents(spark, sf_dir):
+    """Texts with line breaks, quotes and commas through CSV and back."""
+    docs = _t(spark, sf_dir, "documents")
+    path = scratch_path(spark, "csv-documents")
+    write_csv(docs, path)
+    return read_csv(spark, path, docs.schema)
+
+
 def q_land_raw_csv(spark, sf_dir):
     """Raw car records landed as CSV under path-like column names, read back with an explicit
     schema, names tidied, full-row dedupe, then a summary per fuel and transmission."""
@@ -452,6 +460,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_mean": q_impute_mean,
     "impute_ols": q_impute_ols,
     "impute_iterative": q_impute_iterative,
+    "csv_documents": q_csv_documents,
     "csv_round_trip": q_csv_round_trip,
     "land_raw_csv": q_land_raw_csv,
     "decode_utf8": q_decode_utf8,
