@@ -38,7 +38,7 @@ def get_spark(master: str | None = None, app: str = "valuemill", shuffle_partiti
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -83,16 +83,18 @@ def materialize(df, name: str):
 
 
 def spread(df, min_partitions: int | None = None):
-    """Round-robin ``df`` over the cores when its scan yields fewer partitions than cores.
+    """In local mode, round-robin ``df`` over the cores when its scan yields fewer partitions than cores.
 
     Row-wise work after a scan (regex parsing, hashing, Python batches) runs one task per input
-    split; a table stored as one large row group would otherwise be parsed by a single core. On
-    a cluster reading many splits this returns ``df`` unchanged (no shuffle is added).
+    split; a small table stored as one row group would be parsed by a single core. On a cluster
+    the scan's own splits are used and no shuffle is added; there, write tables as many files or row
+    groups, or lower ``spark.sql.files.maxPartitionBytes``.
     """
     spark = df.sparkSession
     want = min_partitions or spark.sparkContext.defaultParallelism
-    have = df.rdd.getNumPartitions()
-    return df if have >= want else df.repartition(want)
+    if not _is_local(spark) or df.rdd.getNumPartitions() >= want:
+        return df
+    return df.repartition(want)
 
 
 _SHIPPED: set[str] = set()
