@@ -11,6 +11,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from valuemill.session import materialize
+
 #: Stripped at both ends of a line: blank and code points 9 to 13.
 STRIPPED = " \t\n\x0b\f\r"
 
@@ -39,8 +41,9 @@ def drop_frequent_lines(docs: DataFrame, threshold: int = 10, shortest: int = 1,
     named = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"),
                         F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content"), _lines(text).alias("lines"))
     hashes = F.transform("lines", lambda x: _hash(line_key(x), shortest))
-    frequent = (named.select(F.explode(F.array_distinct(hashes)).alias("line")).where("line is not null")
-                .groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= threshold).select("line"))
+    # Written, so that the join below reads two plain exchanges and Spark can split the rows of a very common line.
+    frequent = materialize(named.select(F.explode(F.array_distinct(hashes)).alias("line")).where("line is not null")
+                .groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= threshold).select("line"), "frequent-lines")
     places = named.select("id", "content", F.posexplode(hashes).alias("pos", "line")).where("line is not null")
     marked = (places.join(frequent, "line").groupBy("id", "content").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
               .withColumnsRenamed({"id": "gone_id", "content": "gone_content"}))
