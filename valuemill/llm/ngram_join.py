@@ -132,14 +132,12 @@ def _meetings(batches: Iterator[pa.RecordBatch]):
     return gram[met], a[met], n[met], run[met], size[met]
 
 
-def _count_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, n, met): in how many members of this partition a set meets another."""
-    if (found := _meetings(batches)) is not None and len(found[0]):
-        _, a, n, _, _ = found
-        order = np.argsort(a, kind="stable")
-        a, n = a[order], n[order]
-        at = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (n[1:] != n[:-1])]))
-        yield pa.RecordBatch.from_arrays([pa.array(a[at]), pa.array(n[at]), pa.array(np.diff(np.append(at, len(a))))], ["a", "n", "met"])
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, n) once for each member in which a set meets another; Spark adds them up before and after the shuffle."""
+    if (found := _meetings(batches)) is not None:
+        for k in range(0, len(found[0]), 1 << 18):
+            p = slice(k, k + (1 << 18))
+            yield pa.RecordBatch.from_arrays([pa.array(found[1][p]), pa.array(found[2][p])], ["a", "n"])
 
 
 def _keep_met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,8 +326,8 @@ def _link_units(batch: pa.Table) -> pa.Table:
 
 def near_links(docs: DataFrame, each: DataFrame) -> DataFrame:
     """(u, v): links between sets, named by digest ``a``, that join all linked sets. ``docs``: id, text; ``each``: their ``digests``."""
-    met = _members(docs, lead=True).repartition("gram").mapInArrow(_count_met, "a long, n long, met long")
-    going = materialize(met.groupBy("a", "n").agg(F.sum("met").alias("met")).where(100 * F.col("met") >= MET * F.col("n")).select("a"), "ngram-going")
+    met = _members(docs, lead=True).repartition("gram").mapInArrow(_met, "a long, n long")
+    going = materialize(met.groupBy("a", "n").agg(F.count("*").alias("met")).where(100 * F.col("met") >= MET * F.col("n")).select("a"), "ngram-going")
     rows = each.where("id is not null").groupBy("a", "b", "n").agg(F.min("id").alias("row")).join(going, "a", "left_semi").select("row")
     rest = docs.join(rows, F.col("id") == F.col("row"), "left_semi")
     kept = materialize(_members(rest, lead=False).repartition("gram").mapInArrow(_keep_met, "gram long, a long, n long, sets long")
