@@ -27,9 +27,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that 10 or more of them share; a document that had text and has none left goes."""
+    """Documents without lines that 10 or more different texts share; a document that had text and has none left goes.
+
+    Copies of a text count once, so a text with many copies stays whole for the next stage, which keeps one of them.
+    """
     ship_package(spark)
-    rows = line_dedup.drop_frequent_lines(docs, threshold=10, shortest=1)
+    rows = line_dedup.drop_frequent_lines(docs, threshold=10, shortest=1, copies_once=True)
     rows = rows.where((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(line_dedup.STRIPPED)) != ""))
     return rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

@@ -31,19 +31,25 @@ def _hash(key: Column, shortest: int) -> Column:
     return F.when(F.length(key) >= shortest, F.unhex(F.md5(key)))
 
 
-def drop_frequent_lines(docs: DataFrame, threshold: int = 10, shortest: int = 1, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_frequent_lines(docs: DataFrame, threshold: int = 10, shortest: int = 1, id_col: str = "doc_id", text: str = "text", copies_once: bool = False) -> DataFrame:
     """Every row and column of ``docs``, its text without lines whose key is in ``threshold`` rows or more; adds n_lines, n_dropped.
 
-    Columns of those two names are replaced. A row is a document; a null or empty text is one empty
-    line, which stays, and gives an empty text. Rows that are equal are treated alike.
+    Columns of those two names are replaced. A row is a document; with ``copies_once``, rows whose texts have the same
+    keys in the same order (empty ones aside) are one document in the count, so copies of a text don't make its lines
+    frequent. A null or empty text is one empty line, which stays, and gives an empty text. Rows that are equal are treated alike.
     """
     docs = docs.drop("n_lines", "n_dropped")
     named = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]).alias("row"),
                         F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("content"), _lines(text).alias("lines"))
     hashes = F.transform("lines", lambda x: _hash(line_key(x), shortest))
+    counted = named.select(F.explode(F.array_distinct(hashes)).alias("line")).where("line is not null")
+    if copies_once:
+        keys = F.filter(F.transform("lines", line_key), lambda k: k != "")
+        # The digest is taken below the explode, once a text and not once a line.
+        counted = (named.select(F.unhex(F.md5(F.array_join(keys, "\n"))).alias("whole"), F.array_distinct(hashes).alias("own"))
+                   .select("whole", F.explode("own").alias("line")).where("line is not null").distinct().select("line"))
     # Written, so that the join below reads two plain exchanges and Spark can split the rows of a very common line.
-    frequent = materialize(named.select(F.explode(F.array_distinct(hashes)).alias("line")).where("line is not null")
-                .groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= threshold).select("line"), "frequent-lines")
+    frequent = materialize(counted.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= threshold).select("line"), "frequent-lines")
     places = named.select("id", "content", F.posexplode(hashes).alias("pos", "line")).where("line is not null")
     marked = (places.join(frequent, "line").groupBy("id", "content").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
               .withColumnsRenamed({"id": "gone_id", "content": "gone_content"}))
