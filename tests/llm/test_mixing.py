@@ -42,3 +42,37 @@ def test_odd_rows_own_topics_and_empty(spark):
     extra = df.selectExpr("*", "'sport' as topic", "1 as mix_cell_name", "2 as mix_tokens")
     assert {r.mix_topic for r in mixing.mixed(extra).collect()} == {"sport"}
     assert mixing.mixed(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_a_stray_document_makes_the_sample_no_smaller(spark):
+    texts = [prose(i, 20 + i % 40) for i in range(900)]
+    few = [(5000, "one stray document", "en", "its own source", 18), (5001, "no language here at all", None, "s1", 23)]
+    whole = mixing.mixed(documents(spark, texts)).collect()
+    rows = mixing.mixed(documents(spark, texts, few)).collect()
+    for r in (whole, rows):
+        assert sum(x.mix_tokens * x.mix_probability for x in r) == pytest.approx(mixing.KEPT * sum(x.mix_tokens for x in r), rel=1e-6)
+    by = {r.doc_id: r for r in rows}
+    assert by[5000].mix_probability == pytest.approx(1.0, abs=1e-3) and by[5001].mix_probability == pytest.approx(1.0, abs=1e-3)
+    assert max(abs(r.mix_probability - by[r.doc_id].mix_probability) for r in whole) < 0.05
+
+
+@pytest.mark.parametrize("rare", [1e5, 1e3, 200.0])
+def test_the_size_holds_on_skewed_sources(rare):
+    rng = np.random.default_rng(4)
+    sizes = [np.array([1 / 3, *np.full(19, 2 / 57)]), np.array([0.7, 0.15, 0.1, 0.05]), np.full(8, 1 / 8)]
+    tokens = np.einsum("i,j,k->ijk", *sizes).ravel() * 1e9 * rng.uniform(0.5, 1.5, 640)
+    index = [np.append(x.ravel(), y) for x, y in zip(np.indices((20, 4, 8)), (20, 1, 3), strict=True)]
+    tokens = np.append(tokens, rare)
+    goals = [mixing._target(np.bincount(at, tokens), [""] * (at.max() + 1), None) for at in index]
+    got = mixing.fill(index, tokens, goals, 0.5)
+    assert got.sum() == pytest.approx(0.5 * tokens.sum(), rel=1e-9) and (got <= tokens * (1 + 1e-12)).all()
+    assert got[-1] == pytest.approx(rare, rel=1e-6)  # kept whole
+    for at, goal in zip(index[1:], goals[1:], strict=True):
+        assert np.bincount(at, got) / got.sum() == pytest.approx(goal, abs=1e-6)
+
+
+def test_targets_that_no_sample_has():
+    index = [np.array([0, 1]), np.array([0, 1])]  # the sources are the languages
+    got = mixing.fill(index, np.array([900.0, 100.0]), [np.array([0.9, 0.1]), np.array([0.1, 0.9])], 0.5)
+    assert got.sum() == pytest.approx(500) and (got <= [900, 100]).all()
+    assert mixing.fill(index, np.array([900.0, 100.0]), [np.array([0.0, 1.0]), np.array([0.5, 0.5])], 0.5).tolist() == [0, 100]

@@ -1,8 +1,9 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Token counts of the cells (source, language, topic) are summed over all documents; raking scales
-them to the target marginals in turn until all hold; a document is then drawn with the probability of
-its cell. The draw is a hash of the document, so it does not depend on partitions or retries.
+them to the target marginals in turn until all hold. The sample has a stated share of all tokens: its cells are
+raked again with what they hold as their bound, so a scarce cell is kept whole and makes no other cell smaller.
+A document is then drawn with the probability of its cell. The draw is a hash of the document, so it does not depend on partitions or retries.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ DIMENSIONS = ("source", "lang", "topic")
 MISSING, TOPICS, TEMPER = "(null)", 8, 0.7
 #: Raking ends when every marginal is within TOLERANCE of its target, or after ROUNDS.
 TOLERANCE, ROUNDS = 1e-9, 1000
+#: Share of all tokens that the sample is expected to have.
+KEPT = 0.5
 _WORD = r"[\x20\x09-\x0D]+"
 
 
@@ -58,13 +61,58 @@ def _target(totals: np.ndarray, names: list[str], wanted: dict[str, float] | Non
     return share / share.sum() if share.sum() else share
 
 
-def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text: str = "text", seed: int = 1, most: float = 1.0) -> DataFrame:
+def _level(weights: np.ndarray, bounds: np.ndarray, wanted: float) -> float:
+    """The least c with sum(min(bounds, c * weights)) = wanted; wanted is at most the bounds of the cells with weight."""
+    some = weights > 0
+    weights, bounds = weights[some], bounds[some]
+    if wanted <= 0 or not len(weights):
+        return 0.0
+    order = np.argsort(bounds / weights, kind="stable")
+    weights, bounds = weights[order], bounds[order]
+    full = np.concatenate([[0.0], np.cumsum(bounds)])  # the first k cells are at their bounds
+    free = np.append(np.cumsum(weights[::-1])[::-1], 0.0)
+    reached = full[:-1] + bounds / weights * free[:-1]  # sum when cell k has just come to its bound
+    k = min(int(np.searchsorted(reached, wanted)), len(weights) - 1)
+    return float(min((wanted - full[k]) / free[k], bounds[k] / weights[k]))
+
+
+def fill(index: list[np.ndarray], tokens: np.ndarray, targets: list[np.ndarray], share: float) -> np.ndarray:
+    """Expected tokens of each cell in a sample of ``share`` of all tokens, none above what the cell holds.
+
+    Cells of categories without a target get none. A category that holds less than its target of the sample is to be kept
+    whole, what it lacks is spread over the others; cells are then raked to these marginals within their bounds. Where no sample has
+    all of them, the nearest found is brought to the sample's size, so that this always holds while there are tokens with targets.
+    """
+    open_to = np.all([t[at] > 0 for at, t in zip(index, targets, strict=True)], axis=0)
+    bounds = np.where(open_to, tokens, 0.0)
+    size = min(share * tokens.sum(), bounds.sum())
+    if size <= 0:
+        return np.zeros_like(bounds)
+    w, held = bounds * (size / bounds.sum()), []
+    for at, t in zip(index, targets, strict=True):
+        holds = np.bincount(at, bounds, len(t))
+        t = np.where(holds > 0, t, 0.0)
+        held.append(np.minimum(holds, _level(t, holds, size) * t))
+    groups = [np.split(np.argsort(at, kind="stable"), np.cumsum(np.bincount(at, minlength=len(t)))[:-1]) for at, t in zip(index, targets, strict=True)]
+    for _ in range(ROUNDS):
+        for own, wanted in zip(groups, held, strict=True):
+            for cells, x in zip(own, wanted, strict=True):
+                if x > 0:
+                    w[cells] *= _level(w[cells], bounds[cells], min(x, bounds[cells].sum()))
+        w = np.clip(w, np.where(bounds > 0, 1e-200, 0.0), np.where(bounds > 0, 1e200, 0.0))
+        now = np.minimum(bounds, w)
+        if max(np.abs(np.bincount(at, now, len(x)) - x).max() for at, x in zip(index, held, strict=True)) <= TOLERANCE * size:
+            break
+    return np.minimum(bounds, w * _level(w, bounds, size))
+
+
+def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, id_col: str = "doc_id", text: str = "text", seed: int = 1, share: float = KEPT) -> DataFrame:
     """Every row and column of ``docs`` with mix_topic, mix_tokens, mix_weight, mix_probability, mix_sampled (columns of those names are replaced).
 
     ``docs`` has ``source`` and ``lang``, and may have ``topic``; else the lexical topic is used. ``targets``
-    gives shares by category for a dimension; a dimension without them gets tempered shares. Probabilities are in
-    proportion to target over actual tokens of the cell, the largest being ``most``, so the expected tokens of the
-    sample have the target marginals. Nulls are a category; an empty table gives no rows; rows that are equal in id
+    gives shares by category for a dimension; a dimension without them gets tempered shares. mix_weight
+    is target over actual tokens of the cell. The expected tokens of the sample are ``share`` of all tokens (of those with a target,
+    if they are fewer) and have the target marginals, as far as the categories hold enough tokens (``fill``); rows without words are kept by ``share``. Nulls are a category; an empty table gives no rows; rows that are equal in id
     and text share their draw. The driver gets one row for each cell, whose number does not depend on that of the documents.
     """
     docs = docs.drop("mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")
@@ -84,7 +132,8 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, i
         goals.append(_target(np.bincount(at, tokens, len(names)), names, (targets or {}).get(d)))
     raked, _ = rake(index, tokens, goals) if len(cells) else (tokens, 0.0)
     ratio = np.divide(raked * tokens.sum(), tokens, out=np.ones_like(tokens), where=tokens > 0)  # cells without tokens change no marginal
-    chance = most * ratio / ratio.max() if len(cells) and ratio.max() > 0 else ratio
+    wanted = fill(index, tokens, goals, share) if len(cells) else tokens
+    chance = np.divide(wanted, tokens, out=np.full_like(tokens, share), where=tokens > 0)
     plan = docs.sparkSession.createDataFrame([(r["mix_cell"], float(w), float(min(1.0, p))) for r, w, p in zip(cells, ratio, chance, strict=True)],
                                              "plan_cell string, mix_weight double, mix_probability double")
     return (found.join(plan, F.col("mix_cell") == F.col("plan_cell"), "left").drop("plan_cell", "mix_cell")
