@@ -9,10 +9,11 @@
    (dropped ones counted) tie sets together; components of the ties are the units of work.
 4. In a unit the sets, all in hash order, form a compressed prefix tree. A probe goes down the tree with the
    overlap counted so far, shared by all sets below a node; a subtree is left when the overlap plus what
-   remains on either side cannot reach any of its sets' bounds. Sets that are linked with one
-   probe need no probes among themselves. Large units are cut into blocks that meet pairwise.
+   remains on either side cannot reach any of its sets' bounds. Every set is a probe, so every
+   link is found. Large units are cut into blocks that meet pairwise.
 
-Components of the verified links are the result.
+``near_pairs`` returns the links themselves. ``near_duplicates`` returns each document's component and number of
+links, which are added up where they are found, so its rows do not grow with the square of a group.
 """
 
 from __future__ import annotations
@@ -277,55 +278,73 @@ class PrefixTree:
         return found
 
 
-def link_unit(names: list[int], sets: list[np.ndarray], sizes: list[int], own: list[bool] | None = None) -> list[tuple[int, int]]:
-    """(name, least name of its part) for the sets of a unit (members in hash order) whose links join them to others.
+def link_unit(sets: list[np.ndarray], sizes: list[int], own: list[bool] | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Every link of a unit (sets with members in hash order), once: (position, positions that it is linked with).
 
     ``own``: sets of the first of two blocks; then only links between the blocks are looked for.
     """
     members = np.unique(np.concatenate(sets))
     ranked = [np.searchsorted(members, s) for s in sets]
-    root = list(range(len(sets)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
-    target = [i for i in range(len(sets)) if own is None or own[i]]
-    probes = target if own is None else [i for i in range(len(sets)) if not own[i]]
+    target = np.array([i for i in range(len(sets)) if own is None or own[i]])
+    probes = target.tolist() if own is None else [i for i in range(len(sets)) if not own[i]]
     tree = PrefixTree([ranked[i] for i in target], [sizes[i] for i in target])
-    hit, covered = np.zeros(len(members), bool), None
+    place, hit = target[tree.order], np.zeros(len(members), bool)
     for i in probes:
-        if covered is not None and i in covered:
-            continue
-        linked = [target[tree.order[k]] for k in tree.linked(ranked[i], hit, sizes[i])]
-        for j in linked:
-            x, y = find(i), find(j)
-            root[max(x, y)] = min(x, y)
-        if own is None and covered is None:
-            covered = set(linked)  # linked with the first probe, so joined with one another already
-    parts: dict[int, list[int]] = {}
-    for i in range(len(sets)):
-        parts.setdefault(find(i), []).append(names[i])
-    return [(x, min(p)) for p in parts.values() for x in p if x != min(p)]
+        linked = place[tree.linked(ranked[i], hit, sizes[i])]
+        if own is None:
+            linked = linked[linked > i]
+        if len(linked):
+            yield i, linked
 
 
-def _link_units(batch: pa.Table) -> pa.Table:
+def _units(batch: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray], list[int], list[bool] | None]]:
+    """(names, copies, sets, sizes, own) of each unit or pair of blocks of a bundle."""
     by: dict[tuple, list[int]] = {}
     for row, key in enumerate(zip(batch.column("component").to_pylist(), batch.column("one").to_pylist(), batch.column("two").to_pylist(), strict=True)):
         by.setdefault(key, []).append(row)
-    names, members, block, sizes = (batch.column(c).to_pylist() for c in ("a", "members", "block", "n"))
-    links = []
+    names, copies = (batch.column(c).to_numpy() for c in ("a", "copies"))
+    members, block, sizes = (batch.column(c).to_pylist() for c in ("members", "block", "n"))
     for (_, one, two), rows in by.items():
         own = None if one == two else [block[r] == one for r in rows]
         if len(rows) > 1 and (own is None or 0 < sum(own) < len(own)):
-            links += link_unit([names[r] for r in rows], [np.frombuffer(members[r], np.uint64) for r in rows], [sizes[r] for r in rows], own)
-    return pa.table({"u": pa.array([a for a, _ in links], pa.int64()), "v": pa.array([b for _, b in links], pa.int64())})
+            yield names[rows], copies[rows], [np.frombuffer(members[r], np.uint64) for r in rows], [sizes[r] for r in rows], own
 
 
-def near_links(docs: DataFrame, each: DataFrame) -> DataFrame:
-    """(u, v): links between sets, named by digest ``a``, that join all linked sets. ``docs``: id, text; ``each``: their ``digests``."""
+def _link_units(batch: pa.Table) -> pa.Table:
+    """(u, v, links): for each set with links in a unit the least set that these join it to, and the documents linked with it."""
+    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, np.int64),) * 3]
+    for names, copies, sets, sizes, own in _units(batch):
+        root, links = list(range(len(sets))), np.zeros(len(sets), np.int64)
+
+        def find(i: int, root: list[int] = root) -> int:
+            while root[i] != i:
+                root[i] = root[root[i]]
+                i = root[i]
+            return i
+
+        for i, linked in link_unit(sets, sizes, own):
+            links[i] += copies[linked].sum()
+            links[linked] += copies[i]
+            for j in linked.tolist():
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+        part = np.array([find(i) for i in range(len(sets))])
+        least = names.copy()
+        np.minimum.at(least, part, names)
+        some = links > 0
+        out.append((names[some], least[part][some], links[some]))
+    return pa.table(dict(zip(("u", "v", "links"), (np.concatenate(c) for c in zip(*out, strict=True)), strict=True)))
+
+
+def _pair_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v): every link of the units of a bundle, sent on as it is found."""
+    for names, _, sets, sizes, own in _units(pa.Table.from_batches(batches)):
+        for i, linked in link_unit(sets, sizes, own):
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(names[linked], names[i])), pa.array(np.maximum(names[linked], names[i]))], ["u", "v"])
+
+
+def _placed(docs: DataFrame, each: DataFrame) -> DataFrame:
+    """The sets that may have links, each in the units or pairs of blocks in which it meets others; ``copies``: documents that have the set."""
     met = _members(docs, lead=True).repartition("gram").mapInArrow(_met, "a long, n long")
     going = materialize(met.groupBy("a", "n").agg(F.count("*").alias("met")).where(100 * F.col("met") >= MET * F.col("n")).select("a"), "ngram-going")
     rows = each.where("id is not null").groupBy("a", "b", "n").agg(F.min("id").alias("row")).join(going, "a", "left_semi").select("row")
@@ -341,25 +360,54 @@ def near_links(docs: DataFrame, each: DataFrame) -> DataFrame:
     # Blocks (one, two) with one <= two of a large unit; a small unit is the block (0, 0) and shares its bundle with others.
     others = F.sequence(F.lit(0), F.col("parts") - 1)
     met_in = F.transform(others, lambda k: F.struct(F.least(k, F.col("block")).alias("one"), F.greatest(k, F.col("block")).alias("two")))
-    placed = (kept.drop("first").join(chosen, F.col("a") == F.col("node")).withColumn("block", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
-              .withColumn("met", F.explode(met_in)).select("a", "n", "members", "component", "parts", "block", "met.one", "met.two")
-              .withColumn("bundle", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component", "one", "two"))))
-    return placed.drop("parts").groupBy("bundle").applyInArrow(_link_units, "u long, v long")
+    copies = each.groupBy(F.col("a").alias("named")).agg(F.count("*").alias("copies"))
+    chosen = chosen.join(copies, F.col("node") == F.col("named")).drop("named")
+    return (kept.drop("first").join(chosen, F.col("a") == F.col("node")).withColumn("block", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+              .withColumn("met", F.explode(met_in)).select("a", "n", "copies", "members", "component", "parts", "block", "met.one", "met.two")
+              .withColumn("bundle", F.when(F.col("parts") == 1, F.pmod(F.xxhash64("component"), F.lit(bundles))).otherwise(F.xxhash64("component", "one", "two"))).drop("parts"))
+
+
+def near_links(docs: DataFrame, each: DataFrame) -> DataFrame:
+    """(u, v, links) for the sets with links, named by digest ``a``: edges that join all linked sets (u = v for the least of them), and the
+    number of documents that u's set is linked with; a row for each pair of blocks. ``docs``: id, text; ``each``: their ``digests``."""
+    return _placed(docs, each).groupBy("bundle").applyInArrow(_link_units, "u long, v long, links long")
+
+
+def near_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id_a, id_b, n_a, n_b): every pair of linked sets that are not equal, each set by the least id that has it, id_a < id_b.
+
+    With the documents of each set (``digests``) these are all links between documents. The rows can grow with the square of a group of near copies.
+    """
+    docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    each = materialize(digests(docs), "ngram-digests")
+    pairs = _placed(docs, each).groupBy("bundle").applyInArrow(_pair_units, "u long, v long")
+    least = each.where("id is not null and n > 0").groupBy("a").agg(F.min("id").alias("id"), F.min("n").alias("n"))
+    both = pairs.join(least.selectExpr("a as u", "id as iu", "n as nu"), "u").join(least.selectExpr("a as v", "id as iv", "n as nv"), "v")
+    turned = F.col("iu") > F.col("iv")
+    return both.select(F.least("iu", "iv").alias("id_a"), F.greatest("iu", "iv").alias("id_b"),
+                       F.when(turned, F.col("nv")).otherwise(F.col("nu")).alias("n_a"), F.when(turned, F.col("nu")).otherwise(F.col("nv")).alias("n_b"))
+
+
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, n_shingles and component_id (least id that links reach) of every row.
+    """id, n_shingles, component_id (least id that links reach) and n_links (other rows that the row is linked with, copies too) of every row.
 
     Words are runs of bytes other than blank and 9 to 13, A-Z in lower case. Null and empty texts have no
     set and link with nothing. Every row is a document, also those that share an id; a row with a null id
-    has the component of the rows with an id that have its very set, else its links are not followed and the component is null. An empty
+    has the component of the rows with an id that have its very set, else its links are not followed and the component and n_links are null. An empty
     table gives no rows. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     each = materialize(digests(docs), "ngram-digests")
-    found = components(near_links(docs, each))
-    least = each.where("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("least")).join(found, F.col("a") == F.col("node"), "left")
+    links = materialize(near_links(docs, each), "ngram-links")
+    found = components(links.select("u", "v"))
+    near = links.groupBy("u").agg(F.sum("links").alias("links"))
+    least = (each.where("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+             .join(found, F.col("a") == F.col("node"), "left").join(near, F.col("a") == F.col("u"), "left"))
     whole = least.where("component is not null").groupBy("component").agg(F.min("least").alias("first")).withColumnRenamed("component", "whole")
-    named = least.join(whole, F.col("component") == F.col("whole"), "left").select("a", "b", "n", F.coalesce("first", "least").alias("component_id"))
+    named = least.join(whole, F.col("component") == F.col("whole"), "left").select("a", "b", "n", F.coalesce("first", "least").alias("component_id"),
+                                                                                               F.when(F.col("least").isNotNull(), F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     return each.join(named, ["a", "b", "n"], "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+        F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
+        F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
