@@ -2,9 +2,10 @@
 
 A word is one of 32 x 32 classes of its hash. The network sums position-wise vectors of the two words to
 either side, and gives the first digit of the middle word's class, then the second given the first. It is
-trained on the whole corpus: each partition takes gradient steps over masked words of all its documents,
-from common weights, and the weights are averaged by the words that they saw, round after round. What is
+trained on the whole corpus: each partition takes gradient steps over the masked words of all its documents,
+from common weights; over the rounds every word is masked once, and the weights are averaged by the words that they saw, round after round. What is
 gathered grows with the partitions; it meets in groups of FAN weights, so no task or driver takes all.
+A word's probability is that of its class times its share of the class's words, counted over the whole corpus.
 A document's score is the sum of the log-probabilities of all its words.
 """
 
@@ -18,14 +19,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from valuemill.llm.common import blocks, mix64, utf8_block, word_hashes
+from valuemill.session import materialize
 
 #: Values of a digit, classes, words to either side, hidden units.
 DIGIT, SIDE, HIDDEN = 32, 2, 16
 CLASSES = DIGIT * DIGIT
-#: One word in MASKED is a target of training in each round (which one depends on the round), as in masked language models.
+#: Words are dealt into MASKED groups by hash and place; each round masks its share of the groups, one after the other, so that each is masked in one round.
 MASKED, ROUNDS, BATCH, RATE, FAN = 16, 2, 256, 0.3, 64
 _SHAPES = ((2 * SIDE, CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, DIGIT), (DIGIT,), (HIDDEN, DIGIT), (DIGIT, DIGIT))
 _STEP = 1 << 14
+#: Rows that share one look-up of their words' counts.
+LOOKUP = 1024
 
 
 class WindowNetwork:
@@ -124,12 +128,13 @@ def train(docs: DataFrame, rounds: int = ROUNDS, text: str = "text") -> bytes:
                 data, offsets = utf8_block(batch.column(0))
                 for i, j in blocks(offsets):
                     around, word, _, hashes = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                    masked = np.flatnonzero((mix64(hashes + np.arange(len(word), dtype=np.uint64)) % np.uint64(MASKED)) == turn)
-                    masked = np.random.default_rng(turn).permutation(masked)
-                    for at in range(0, len(masked), BATCH):
-                        own = masked[at:at + BATCH]
-                        net.learn(around[own], word[own], RATE / (1 + turn))
-                    seen += len(masked)
+                    dealt = (mix64(hashes + np.arange(len(word), dtype=np.uint64)) % np.uint64(MASKED)).astype(np.int64)
+                    for group in range(turn, MASKED, rounds):
+                        masked = np.random.default_rng(group).permutation(np.flatnonzero(dealt == group))
+                        for at in range(0, len(masked), BATCH):
+                            own = masked[at:at + BATCH]
+                            net.learn(around[own], word[own], RATE / (1 + turn))
+                        seen += len(masked)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([seen], pa.int64()), pa.array([net.packed()], pa.binary())], ["part", "words", "weights"])
 
@@ -141,24 +146,70 @@ def train(docs: DataFrame, rounds: int = ROUNDS, text: str = "text") -> bytes:
     return weights
 
 
-def scored(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def word_shares(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, share): log of each word's share of the words of its class, counted over all documents; a word is named by its hash."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8_block(batch.column(0))
+            for i, j in blocks(offsets):
+                words, n = np.unique(word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower=True)[0], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n.astype(np.int64))], ["word", "n"])
+
+    counts = materialize(docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    of = F.shiftrightunsigned("word", 54)
+    totals = counts.groupBy(of.alias("of")).agg(F.sum("n").alias("total"))
+    return counts.join(F.broadcast(totals), of == F.col("of")).select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+
+
+def scored(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text: str = "text", shares: DataFrame | None = None) -> DataFrame:
     """id, n_words, log_probability (sum over all words), mean_log_probability and pseudo_perplexity of every row.
 
+    With ``shares`` (``word_shares`` of a corpus that has these documents) probabilities are of words, else of their classes.
     Null texts count as empty: no words, 0, and null for the mean and the perplexity. Other columns are ignored; equal texts have equal scores.
     """
+    def score(net: WindowNetwork, batch: pa.RecordBatch | pa.Table, words: np.ndarray | None = None, share: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        data, offsets = utf8_block(batch.column(1))
+        for i, j in blocks(offsets):
+            around, word, doc, hashes = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+            log = net.log_probabilities(around, word).astype(np.float64)
+            if words is not None and len(word):
+                log += share[np.searchsorted(words, hashes.view(np.int64))]
+            n = np.bincount(doc, minlength=j - i)
+            total = np.bincount(doc, log, minlength=j - i)
+            mean = np.divide(total, n, out=np.zeros(j - i), where=n > 0)
+            none = n == 0
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=none), pa.array(np.exp(-mean), mask=none)],
+                                             [id_col, "n_words", "log_probability", "mean_log_probability", "pseudo_perplexity"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNetwork(weights)
         for batch in batches:
-            data, offsets = utf8_block(batch.column(1))
-            for i, j in blocks(offsets):
-                around, word, doc, _ = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                log = net.log_probabilities(around, word).astype(np.float64)
-                n = np.bincount(doc, minlength=j - i)
-                total = np.bincount(doc, log, minlength=j - i)
-                mean = np.divide(total, n, out=np.zeros(j - i), where=n > 0)
-                none = n == 0
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=none), pa.array(np.exp(-mean), mask=none)],
-                                                 [id_col, "n_words", "log_probability", "mean_log_probability", "pseudo_perplexity"])
+            yield from score(net, batch)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text).mapInArrow(run, f"`{id_col}` {kind}, n_words long, log_probability double, mean_log_probability double, pseudo_perplexity double")
+    schema = f"`{id_col}` {kind}, n_words long, log_probability double, mean_log_probability double, pseudo_perplexity double"
+    if shares is None:
+        return docs.select(id_col, text).mapInArrow(run, schema)
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """(part, word) for the words of each part of the rows, once a batch."""
+        for batch in batches:
+            part = batch.column(1).to_numpy()
+            data, offsets = utf8_block(batch.column(0))
+            for i, j in blocks(offsets):
+                hashes, doc, _, _ = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower=True)
+                for p in np.unique(part[i:j]):
+                    words = np.unique(hashes[part[i:j][doc] == p])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), p)), pa.array(words.view(np.int64))], ["part", "word"])
+
+    def with_shares(rows: pa.Table, found: pa.Table) -> pa.Table:
+        words, at = np.unique(found.column("word").to_numpy(), return_index=True)
+        rows = rows.combine_chunks().select([0, 1])
+        out = [b for r in rows.to_batches() for b in score(WindowNetwork(weights), r, words, found.column("share").to_numpy()[at])]
+        return pa.Table.from_batches(out)
+
+    # Written, so that a row's place in its file names its part, on every run of a task.
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "pseudo-rows")
+    rows = rows.withColumn("part", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / LOOKUP)))
+    found = rows.select("text", "part").mapInArrow(used, "part long, word long").join(shares, "word").select("part", "word", "share")
+    return rows.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(with_shares, schema)

@@ -33,7 +33,7 @@ def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_masked_pseudo_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return pseudo_lm.scored(docs, pseudo_lm.train(docs))
+    return pseudo_lm.scored(docs, pseudo_lm.train(docs), shares=pseudo_lm.word_shares(docs))
 
 
 def op5_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
