@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, ngram_join, pseudo_lm, quality_fm, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, ngram_join, pseudo_lm, quality_fm, secret_scan, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -65,7 +65,16 @@ def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
-QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op9_ngram_join, op10_norm_sorted_topk)}
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", secret_scan.is_base)
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in secret_scan.BASE_KINDS]
+    return rows.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op9_ngram_join, op10_norm_sorted_topk,
+                                  op12_secret_scan)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
