@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, ngram_join, pseudo_lm, quality_fm, secret_scan, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, ngram_join, prefix_trie, pseudo_lm, quality_fm, secret_scan, sharding, streaming_dedup, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -65,6 +65,10 @@ def op10_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(table(spark, sf_dir, "documents"))
     base = F.filter("spans", secret_scan.is_base)
@@ -74,11 +78,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op9_ngram_join, op10_norm_sorted_topk,
-                                  op12_secret_scan)}
+                                  op11_prefix_trie, op12_secret_scan)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
     "op7_streaming_dedup": streaming_dedup.DEDUP_SQL,
     "op8_line_dedup": line_dedup.LINE_SQL,
     "op10_norm_sorted_topk": vector_topk.TOPK_SQL,
+    "op11_prefix_trie": prefix_trie.TRIE_SQL,
 }
