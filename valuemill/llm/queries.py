@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from valuemill.llm import bpe, line_dedup, mixing, ngram_join, prefix_trie, pseudo_lm, quality_fm, secret_scan, sharding, streaming_dedup, token_counts, vector_topk
+from valuemill.llm import bpe, line_dedup, mixing, ngram_join, prefix_trie, pseudo_lm, quality_fm, secret_scan, sharding, streaming_dedup, structure_repair, token_counts, vector_topk
 from valuemill.llm.common import table
 from valuemill.session import sf_path
 
@@ -77,8 +77,13 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(F.col("spans")).alias("spans"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    return structure_repair.repair(rows, structure_repair.damaged(rows))
+
+
 QUERIES = {f.__name__: f for f in (op1_fm_quality, op2_histogram_shards, op3_chunk_bpe, op4_masked_pseudo_lm, op5_mixture, op6_length_histogram, op7_streaming_dedup, op8_line_dedup, op9_ngram_join, op10_norm_sorted_topk,
-                                  op11_prefix_trie, op12_secret_scan)}
+                                  op11_prefix_trie, op12_secret_scan, op13_structure_repair)}
 
 ORACLE_SQL = {
     "op2_histogram_shards": sharding.SHARD_SQL,
@@ -86,4 +91,5 @@ ORACLE_SQL = {
     "op8_line_dedup": line_dedup.LINE_SQL,
     "op10_norm_sorted_topk": vector_topk.TOPK_SQL,
     "op11_prefix_trie": prefix_trie.TRIE_SQL,
+    "op13_structure_repair": structure_repair.REPAIR_SQL,
 }
