@@ -80,3 +80,58 @@ def test_quantiles_and_empty(spark, library):
     hist = token_counts.histogram(token_counts.encoded_lengths(documents(spark, ["a", "a b", "a b c", "a b c d"]), tokenizer_path(), None))
     assert {r.share: r.length for r in token_counts.quantiles(hist, (0.25, 0.5, 0.51, 1.0)).collect()} == {0.25: 1, 0.5: 2, 0.51: 3, 1.0: 4}
     assert token_counts.length_report(spark.createDataFrame([], SCHEMA), tokenizer_path()).collect() == []
+
+
+def test_windows_grow_until_their_outer_words_agree(library, monkeypatch):
+    import pyarrow as pa
+
+    for refused in range(1, 6):
+        encoder = bpe.ChunkEncoder(tokenizer_path())
+        seen, agrees = {}, encoder.words.agrees
+
+        def stubborn(window, known, seen=seen, refused=refused, agrees=agrees):  # each comparison fails until it was made `refused` times
+            seen[known] = seen.get(known, 0) + 1
+            return seen[known] > refused and agrees(window, known)
+
+        monkeypatch.setattr(encoder.words, "agrees", stubborn)
+        text = "  " + prose(8, 400, 5000) + " é ́a \t"
+        data, offsets = utf8_block(pa.array([text, "short one", text]))
+        found = encoder.encode(data.tobytes(), rolling_cuts(data, offsets, 7), offsets[1:].tolist())
+        assert [(len(i) // 4, i, d.decode()) for i, d in found] == [expected(library, t) for t in (text, "short one", text)]
+        assert encoder.widened > 0
+
+
+def test_a_tokenizer_that_joins_across_white_space_gets_whole_texts(spark):
+    import public_tokenizers
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    own = Tokenizer.from_file(path)
+    texts = [*TEXTS, prose(4, 800)]
+    rows = {r.doc_id: (r.n_tokens, bytes(r.ids), r.decoded) for r in bpe.encode(documents(spark, texts), path).collect()}
+    assert rows == {i: expected(own, t) for i, t in enumerate(texts)}
+    lengths = token_counts.encoded_lengths(documents(spark, texts), path, None).collect()
+    assert sorted(r.length for r in lengths) == sorted(expected(own, t)[0] for t in texts)
+
+
+def test_caches_are_bounded_in_bytes_and_long_words_not_kept(library):
+    encoder = bpe.ChunkEncoder(tokenizer_path())
+    encoder.words.words.most = encoder.chunks.most = 20_000
+    import pyarrow as pa
+    for i in range(30):
+        texts = [prose(i, 300, 100_000), "x" * 5000 + f" {i}"]
+        data, offsets = utf8_block(pa.array(texts))
+        found = encoder.encode(data.tobytes(), rolling_cuts(data, offsets, 8), offsets[1:].tolist())
+        assert [i for i, _ in found] == [expected(library, t)[1] for t in texts]
+        held = encoder.words.words
+        assert sum(len(w) + len(v) + 250 for g in (held.young, held.old) for w, v in g.items()) <= 2 * 20_000 + 1000
+        assert max(len(w) for w in held.young) <= bpe.WORD_KEPT
+
+
+def test_a_word_of_megabytes(library):
+    import pyarrow as pa
+
+    text = "start " + "abcdefghij" * 150_000 + " end"
+    encoder = bpe.ChunkEncoder(tokenizer_path())
+    data, offsets = utf8_block(pa.array([text]))
+    found = encoder.encode(data.tobytes(), rolling_cuts(data, offsets, 10), offsets[1:].tolist())
+    assert found[0][0] == expected(library, text)[1]

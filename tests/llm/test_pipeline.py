@@ -1,11 +1,12 @@
 """The registered queries and the pipeline on the smallest table, each stage against brute force on its own input."""
 
+import hashlib
 import os
 
 import pytest
 
 import corpus_pipeline
-from tests.llm.helpers import SPACE, near_components, sha
+from tests.llm.helpers import SCHEMA, SPACE, near_components, sha, words
 from tests.llm.test_line_dedup import brute as brute_lines
 from valuemill.llm.queries import QUERIES, tokenizer_path
 
@@ -56,14 +57,75 @@ def test_one_of_each_near_group_stays(stages):
     assert {r["doc_id"] for r in after} == {i for i, (_, c) in parts.items() if i == c}
 
 
+def raked(cells, share):
+    """Expected tokens of each cell {(source, lang, topic): tokens}: bounded raking to tempered shares, levels by bisection."""
+    size = share * sum(cells.values())
+
+    def level(part, weight, wanted):
+        low, high = 0.0, 1.0
+        while sum(min(cells[c], high * weight[c]) for c in part) < wanted * (1 - 1e-13) and high < 1e30:
+            high *= 2
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(cells[c], mid * weight[c]) for c in part) < wanted else (low, mid)
+        return high
+
+    now, goals = {c: share * n for c, n in cells.items()}, []
+    for d in range(3):
+        holds = {}
+        for c, n in cells.items():
+            holds[c[d]] = holds.get(c[d], 0) + n
+        t = {k: v ** 0.7 / sum(x ** 0.7 for x in holds.values()) for k, v in holds.items() if v}
+        low, high = 0.0, size * 1e6
+        for _ in range(300):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(min(holds[k], mid * t[k]) for k in t) < size else (low, mid)
+        goals.append({k: min(holds[k], high * t[k]) for k in t})
+    for _ in range(300):
+        for d, goal in enumerate(goals):
+            for k, wanted in goal.items():
+                part = [c for c in cells if c[d] == k and cells[c]]
+                factor = level(part, now, min(wanted, sum(cells[c] for c in part)))
+                for c in part:
+                    now[c] *= factor
+    final = level([c for c in cells if cells[c]], now, size)
+    return {c: min(cells[c], final * now[c]) for c in cells}
+
+
+def test_mixture_against_plain_raking(spark, stages):
+    from valuemill.llm import mixing
+
+    _, before, after, _ = stages[3]
+    docs = spark.createDataFrame([(r["doc_id"], r["text"], r["lang"], r["source"], r["n_chars"]) for r in before], SCHEMA)
+    topic = {r.doc_id: r.t for r in docs.select("doc_id", mixing.topic_of(mixing.words("text")).alias("t")).collect()}
+    cell = {r["doc_id"]: tuple("(null)" if x is None else x for x in (r["source"], r["lang"], topic[r["doc_id"]])) for r in before}
+    cells = {}
+    for r in before:
+        cells[cell[r["doc_id"]]] = cells.get(cell[r["doc_id"]], 0) + len(words(r["text"]))
+    want = raked(cells, mixing.KEPT)
+    assert sum(want.values()) == pytest.approx(mixing.KEPT * sum(cells.values()))
+    kept, close = set(), set()
+    for r in before:
+        key = hashlib.md5(f"{r['doc_id']}:1:{hashlib.md5((r['text'] or '').encode()).hexdigest()}".encode()).hexdigest()
+        c = cell[r["doc_id"]]
+        draw, chance = int(key[:13], 16) / float(1 << 52), want[c] / cells[c] if cells[c] else mixing.KEPT
+        if draw < chance:
+            kept.add(r["doc_id"])
+        if abs(draw - chance) < 1e-3:
+            close.add(r["doc_id"])
+    assert {r["doc_id"] for r in after} - close == kept - close and len(close) <= 3
+    assert 0 < len(kept) < len(before)
+
+
 def test_encoding_against_the_library(stages):
     from tokenizers import Tokenizer
-    import numpy as np, hashlib  # noqa: E401
+    import numpy as np
 
     t = Tokenizer.from_file(tokenizer_path())
     _, before, after, _ = stages[4]
     got = {r["doc_id"]: r for r in after}
-    for r in before[:40]:
+    assert len(got) == len(before)
+    for r in before:
         ids = t.encode(r["text"] or "", add_special_tokens=False).ids
         own = got[r["doc_id"]]
         assert own["n_tokens"] == len(ids) and own["ids_sha256"] == hashlib.sha256(np.asarray(ids, "<u4").tobytes()).hexdigest()

@@ -111,16 +111,17 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, lower: bool = True):
     return hashes, np.searchsorted(offsets, starts, side="right") - 1, starts, ends
 
 
-def rolling_cuts(data: np.ndarray, offsets: np.ndarray, bits: int, window: int = 16) -> np.ndarray:
+def rolling_cuts(data: np.ndarray, offsets: np.ndarray, bits: int, window: int = 16, room_bits: int = 21) -> np.ndarray:
     """Ends of content-defined chunks of a block of UTF-8 documents, every document's end among them.
 
     A chunk ends where the rolling hash of its last ``window`` bytes has ``bits`` zero bits, so equal
     passages are cut alike wherever they stand; never inside a character or a window that spans two documents.
+    Blocks of up to 2 ** room_bits bytes share one table of powers.
     """
     size = len(data)
     if size < window:
         return offsets[1:]
-    power, inverse = _powers(1 << max(21, int(size).bit_length()))
+    power, inverse = _powers(1 << max(room_bits, int(size).bit_length()))
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum(_byte_codes(False)[data] * power[:size], out=sums[1:])
     low = (sums[window:] - sums[:-window]) * inverse[:size + 1 - window] * np.uint64(_MULTIPLIER)

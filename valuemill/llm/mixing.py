@@ -19,6 +19,8 @@ MISSING, TOPICS, TEMPER = "(null)", 8, 0.7
 TOLERANCE, ROUNDS = 1e-9, 1000
 #: Share of all tokens that the sample is expected to have.
 KEPT = 0.5
+#: Most cells (source, language, topic) that are raked on the driver.
+CELLS = 200_000
 _WORD = r"[\x20\x09-\x0D]+"
 
 
@@ -113,28 +115,35 @@ def mixed(docs: DataFrame, targets: dict[str, dict[str, float]] | None = None, i
     gives shares by category for a dimension; a dimension without them gets tempered shares. mix_weight
     is target over actual tokens of the cell. The expected tokens of the sample are ``share`` of all tokens (of those with a target,
     if they are fewer) and have the target marginals, as far as the categories hold enough tokens (``fill``); rows without words are kept by ``share``. Nulls are a category; an empty table gives no rows; rows that are equal in id
-    and text share their draw. The driver gets one row for each cell, whose number does not depend on that of the documents.
+    and text share their draw. The driver gets one row for each cell; more than ``CELLS`` of them are an error.
     """
-    docs = docs.drop("mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")
-    own_topic = "topic" in docs.columns
-    found = docs.withColumn("mix_words", words(text))
-    found = found.withColumns({"mix_tokens": F.size("mix_words").cast("long"), "mix_topic": F.col("topic").cast("string") if own_topic else topic_of(F.col("mix_words"))}).drop("mix_words")
+    columns = [c for c in docs.columns if c not in ("mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])  # packed, so no name clashes
+    topic = F.col("topic").cast("string") if "topic" in docs.columns else topic_of(F.col("words"))
+    found = docs.withColumn("row", row).select("row", "source", "lang", words(text).alias("words"), uniform(id_col, text, seed).alias("draw"),
+                                               *(["topic"] if "topic" in docs.columns else []))
+    found = found.select("row", "draw", "source", "lang", F.size("words").cast("long").alias("mix_tokens"), topic.alias("mix_topic"))
     cell = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in ("source", "lang", "mix_topic")]
-    found = found.withColumn("mix_cell", F.to_json(F.array(*cell)))
-    cells = found.groupBy("mix_cell").agg(F.sum("mix_tokens").alias("tokens"), *[F.first(x).alias(d) for d, x in zip(DIMENSIONS, cell, strict=True)]).collect()
-    cells.sort(key=lambda r: r["mix_cell"])
+    found = found.withColumn("cell", F.to_json(F.array(*cell)))
+    cells = (found.groupBy("cell").agg(F.sum("mix_tokens").alias("tokens"), *[F.first(x).alias(d) for d, x in zip(DIMENSIONS, cell, strict=True)])
+             .limit(CELLS + 1).collect())
+    if len(cells) > CELLS:
+        raise ValueError(f"more than {CELLS} cells of source, language and topic; use coarser categories")
+    cells.sort(key=lambda r: r["cell"])
     tokens = np.array([r["tokens"] for r in cells], np.float64)
     index, goals = [], []
     for d in DIMENSIONS:
         names = sorted({r[d] for r in cells})
-        at = np.array([names.index(r[d]) for r in cells], np.int64)
+        place = {n: i for i, n in enumerate(names)}
+        at = np.array([place[r[d]] for r in cells], np.int64)
         index.append(at)
         goals.append(_target(np.bincount(at, tokens, len(names)), names, (targets or {}).get(d)))
     raked, _ = rake(index, tokens, goals) if len(cells) else (tokens, 0.0)
     ratio = np.divide(raked * tokens.sum(), tokens, out=np.ones_like(tokens), where=tokens > 0)  # cells without tokens change no marginal
     wanted = fill(index, tokens, goals, share) if len(cells) else tokens
     chance = np.divide(wanted, tokens, out=np.full_like(tokens, share), where=tokens > 0)
-    plan = docs.sparkSession.createDataFrame([(r["mix_cell"], float(w), float(min(1.0, p))) for r, w, p in zip(cells, ratio, chance, strict=True)],
+    plan = docs.sparkSession.createDataFrame([(r["cell"], float(w), float(min(1.0, p))) for r, w, p in zip(cells, ratio, chance, strict=True)],
                                              "plan_cell string, mix_weight double, mix_probability double")
-    return (found.join(plan, F.col("mix_cell") == F.col("plan_cell"), "left").drop("plan_cell", "mix_cell")
-            .withColumn("mix_sampled", uniform(id_col, text, seed) < F.col("mix_probability")))
+    return (found.join(plan, F.col("cell") == F.col("plan_cell"), "left")
+            .select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)], "mix_tokens", "mix_topic", "mix_weight", "mix_probability",
+                    (F.col("draw") < F.col("mix_probability")).alias("mix_sampled")))

@@ -74,14 +74,16 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, l
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """(id, n, a, b) of each document: the size of its set and its digest."""
+    """(id, n, a, b) of each document: the size of its set and its digest; and ``mark`` (binary) where ``docs`` has it."""
+    marked = "mark" in docs.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, sets in _sets(batches):
             found = [_digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in found], pa.int64()),
-                                              pa.array([b for _, b in found], pa.int64())], ["id", "n", "a", "b"])
+                                              pa.array([b for _, b in found], pa.int64()), *([batch.column("mark")] if marked else [])], ["id", "n", "a", "b", *(["mark"] if marked else [])])
 
-    return docs.mapInArrow(run, "id long, n long, a long, b long")
+    return docs.mapInArrow(run, "id long, n long, a long, b long" + (", mark binary" if marked else ""))
 
 
 def _members(docs: DataFrame, lead: bool) -> DataFrame:
@@ -390,24 +392,51 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 
 
+def _components(docs: DataFrame, each: DataFrame) -> DataFrame:
+    """(a, b, n, least, copies, links, first) of each set: its least id, its rows, the rows of other sets linked with it, and
+    ``first`` (least, a, b) of the set that its component is named by."""
+    links = materialize(near_links(docs, each), "ngram-links")
+    found = components(links.select("u", "v"))
+    near = links.groupBy("u").agg(F.sum("links").alias("links"))
+    least = (each.where("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+             .join(found, F.col("a") == F.col("node"), "left").join(near, F.col("a") == F.col("u"), "left"))
+    own = F.struct("least", "a", "b")
+    whole = least.where("component is not null and least is not null").groupBy("component").agg(F.min(own).alias("of_all")).withColumnRenamed("component", "whole")
+    return (least.join(whole, F.col("component") == F.col("whole"), "left")
+            .select("a", "b", "n", "least", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("of_all", own).alias("first")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """id, n_shingles, component_id (least id that links reach) and n_links (other rows that the row is linked with, copies too) of every row.
 
     Words are runs of bytes other than blank and 9 to 13, A-Z in lower case. Null and empty texts have no
     set and link with nothing. Every row is a document, also those that share an id; a row with a null id
-    has the component of the rows with an id that have its very set, else its links are not followed and the component and n_links are null. An empty
+    has the component of the rows with an id that have their very set, else its links are not followed and the component and n_links are null. An empty
     table gives no rows. Other columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     each = materialize(digests(docs), "ngram-digests")
-    links = materialize(near_links(docs, each), "ngram-links")
-    found = components(links.select("u", "v"))
-    near = links.groupBy("u").agg(F.sum("links").alias("links"))
-    least = (each.where("n > 0").groupBy("a", "b", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
-             .join(found, F.col("a") == F.col("node"), "left").join(near, F.col("a") == F.col("u"), "left"))
-    whole = least.where("component is not null").groupBy("component").agg(F.min("least").alias("first")).withColumnRenamed("component", "whole")
-    named = least.join(whole, F.col("component") == F.col("whole"), "left").select("a", "b", "n", F.coalesce("first", "least").alias("component_id"),
-                                                                                               F.when(F.col("least").isNotNull(), F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    named = _components(docs, each).select("a", "b", "n", F.col("first.least").alias("component_id"),
+                                           F.when(F.col("least").isNotNull(), F.col("copies") - 1 + F.col("links")).alias("n_links"))
     return each.join(named, ["a", "b", "n"], "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
         F.when(F.col("n") > 0, F.col("n_links")).otherwise(F.lit(0)).alias("n_links"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, without near duplicates: of each component the rows with its least id stay.
+
+    Decided row by row: a row goes for its own text only, whatever other rows share its id. Where two different sets of a component
+    have the least id, the one with the lesser digest stays; rows equal in id and text stay or go together. Rows without an id or
+    without words stay.
+    """
+    columns = docs.columns
+    packed = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                         F.col(text).alias("text"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")))).alias("mark"))
+    each = materialize(digests(packed.select("id", "text", "mark")), "ngram-digests")
+    sets = _components(packed.select("id", "text"), each.drop("mark")).select("a", "b", "n", "first")
+    stays = (F.col("id") == F.col("first.least")) & (F.col("a") == F.col("first.a")) & (F.col("b") == F.col("first.b"))
+    gone = (each.where("id is not null and n > 0").join(sets, ["a", "b", "n"]).where(~stays)
+            .select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct())
+    left = packed.join(gone, (F.col("id") == F.col("gone_id")) & (F.col("mark") == F.col("gone_mark")), "left_anti")
+    return left.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(columns)])

@@ -175,7 +175,7 @@ def scored(docs: DataFrame, model: FactorisationMachine | None, threshold: float
     """
     from pyspark.sql.types import DoubleType, IntegerType, StructType
 
-    docs = docs.drop("fm_score", "fm_predicted", "fm_text", "fm_chars")
+    docs = docs.drop("fm_score", "fm_predicted")
     kept = docs.select(*[F.col(f"`{c}`") for c in keep or docs.columns])
     if model is None:
         return kept.withColumns({"fm_score": F.lit(0.5), "fm_predicted": F.lit(int(threshold <= 0.5))})
@@ -191,5 +191,6 @@ def scored(docs: DataFrame, model: FactorisationMachine | None, threshold: float
             scores = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:width], pa.array(scores), pa.array((scores >= threshold).astype(np.int32))], names)
 
+    # Read by position: their names may be those of other columns.
     more = [] if own < width else [F.col(text).alias("fm_text")]
     return docs.select(*[F.col(f"`{c}`") for c in kept.columns], _chars(docs, text).alias("fm_chars"), *more).mapInArrow(run, schema)

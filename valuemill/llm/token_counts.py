@@ -17,6 +17,7 @@ def encoded_lengths(docs: DataFrame, path: str, by: str | None = "source", text:
     """(grp, length) of every row: its group as text (null without ``by``) and the ids of its whole text. A null text has length 0.
 
     Each word is encoded once while a worker keeps it; the lengths of a block come from one weighted count over its words.
+    With a tokenizer that joins text across white space every text is encoded whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(path)
@@ -24,9 +25,13 @@ def encoded_lengths(docs: DataFrame, path: str, by: str | None = "source", text:
             data, offsets = utf8_block(batch.column(1))
             for i, j in blocks(offsets):
                 raw, at = data[offsets[i]:offsets[j]].tobytes(), (offsets[i:j + 1] - offsets[i]).tolist()
-                words = [raw[a:b].split() for a, b in zip(at, at[1:], strict=False)]
-                size = {w: len(ids) // 4 for w, (ids, _) in encoder.learn(set().union(*words)).items()}
-                lengths = [sum(map(size.__getitem__, w)) for w in words]
+                texts = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+                if encoder.separable:
+                    words = [t.split() for t in texts]
+                    size = {w: len(ids) // 4 for w, ids in encoder.learn(set().union(*words)).items()}
+                    lengths = [sum(map(size.__getitem__, w)) for w in words]
+                else:
+                    lengths = [len(ids) // 4 for ids in encoder.packed(texts)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i).cast(pa.string()), pa.array(np.asarray(lengths, np.int64))], ["grp", "length"])
 
     group = F.col(by).cast("string") if by else F.lit(None).cast("string")
