@@ -7,6 +7,8 @@ columns of ``documents``; n_chars follows the text where a stage changes it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,14 +18,28 @@ from valuemill.llm.queries import tokenizer_path
 from valuemill.session import materialize, ship_package
 
 
+def _aside(docs: DataFrame, *names: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with its columns of these names, which an operator would replace, under free names; and what puts them and the order of columns back."""
+    columns, moved = docs.columns, {}
+    for c in names:
+        if c in columns:
+            free = c
+            while free in columns or free in names:
+                free = f"_{free}"
+            moved[c] = free
+    back = lambda rows: rows.select(*[F.col(f"`{moved.get(c, c)}`").alias(c) for c in columns])
+    return docs.withColumnsRenamed(moved), back
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine does not reject (score of 0.5 or more: better than even odds).
 
     It learns from the documents that are labelled and not held out.
     """
     ship_package(spark)
-    model = quality_fm.train(docs, table(spark, sf_dir, "labels"))
-    return quality_fm.scored(docs, model, threshold=0.5).where("fm_score >= 0.5").select(*docs.columns)
+    rows, back = _aside(docs, "fm_score", "fm_predicted")
+    model = quality_fm.train(rows, table(spark, sf_dir, "labels"))
+    return back(quality_fm.scored(rows, model, threshold=0.5).where("fm_score >= 0.5"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,22 +48,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Copies of a text count once, so a text with many copies stays whole for the next stage, which keeps one of them.
     """
     ship_package(spark)
-    rows = line_dedup.drop_frequent_lines(docs, threshold=10, shortest=1, copies_once=True)
+    rows, back = _aside(docs, "n_lines", "n_dropped")
+    rows = line_dedup.drop_frequent_lines(rows, threshold=10, shortest=1, copies_once=True)
     rows = rows.where((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(line_dedup.STRIPPED)) != ""))
-    return rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return back(rows.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component: that with the least id. Documents without an id or without words stay."""
+    """One document of each component, that with the least id; a row goes for its own text. Documents without an id or without words stay."""
     ship_package(spark)
-    parts = ngram_join.near_duplicates(docs).where("doc_id is not null and component_id <> doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(parts, F.col("doc_id") == F.col("gone_id"), "left_anti").select(*docs.columns)
+    return ngram_join.first_of_each(docs)
 
 
-def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample by the raked probabilities of source, language and topic."""
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str, share: float = mixing.KEPT) -> DataFrame:
+    """A sample of ``share`` of all tokens by the raked probabilities of source, language and topic."""
     ship_package(spark)
-    return mixing.mixed(docs).where("mix_sampled").select(*docs.columns)
+    rows, back = _aside(docs, "mix_topic", "mix_tokens", "mix_weight", "mix_probability", "mix_sampled")
+    return back(mixing.mixed(rows, share=share).where("mix_sampled"))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
