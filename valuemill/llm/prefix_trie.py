@@ -195,12 +195,10 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     zero = F.lit(0).cast("long")
     found = materialize(_nodes(segments.withColumns({"t": zero, "l": zero})).drop("t", "l"), "trie-nodes")
 
-    def at(rows: DataFrame, tag: str, up: bool = False) -> tuple[DataFrame, Column]:
-        """``rows`` with their keys renamed, and the condition that their key is that of a node (of its parent)."""
-        renamed = rows.withColumnsRenamed({k: f"{k}_{tag}" for k in _KEY})
-        own = [F.col("depth") - 1, F.col("pa"), F.col("pb")] if up else [F.col(k) for k in _KEY]
-        same = own[0] == F.col(f"depth_{tag}")
-        return renamed, same & (own[1] == F.col(f"ka_{tag}")) & (own[2] == F.col(f"kb_{tag}"))
+    def at(rows: DataFrame, tag: str) -> tuple[DataFrame, Column]:
+        """``rows`` with their keys renamed, and the condition that their key is that of a node."""
+        same = [F.col(k) == F.col(f"{k}_{tag}") for k in _KEY]
+        return rows.withColumnsRenamed({k: f"{k}_{tag}" for k in _KEY}), same[0] & same[1] & same[2]
 
     children, same = at(found.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("pa").alias("ka"), F.col("pb").alias("kb"))
                         .agg(F.count("*").alias("n_children")), "c")
@@ -213,10 +211,11 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     nodes = nodes.join(sums, same)
     ends, same = at(_ends(segments), "e")
     nodes = nodes.join(ends, same, "left")
-    # Only the top of a path has a parent of another name. A node with very many children is a skewed key that Spark splits.
-    tops = nodes.where("nth = 0 and depth > 0").select(*_KEY, "pa", "pb")
-    parents, same = at(found.select(*_KEY, F.col("conv_id").alias("parent")), "p", up=True)
-    above, own = at(tops.join(parents, same).select(*_KEY, "parent"), "t")
+    # Only the top of a path has a parent of another name. A node with very many children is met by pieces of them.
+    tops = nodes.where("nth = 0 and depth > 0").select(F.struct((F.col("depth") - 1).alias("depth"), F.col("pa").alias("ka"), F.col("pb").alias("kb")).alias("up"), *_KEY)
+    parents = found.select(F.struct(*_KEY).alias("of"), F.col("conv_id").alias("parent"))
+    named = Placed(tops, "up", [], "trie-tops").positioned(parents, "of")
+    above, own = at(named.select(*_KEY, "parent"), "t")
     rows = nodes.join(above, own, "left")
     return rows.select("conv_id", "depth", F.when(F.col("depth") > 0, F.coalesce("parent", "conv_id")).alias("parent_conv_id"), "n_convs", "n_children",
                        F.col("l").alias("n_leaves"), (F.col("t") - F.col("above")).alias("saved_tokens"),
