@@ -7,6 +7,7 @@ plain SQL that both engines accept, so both sides start from identical inputs.
 from __future__ import annotations
 
 from valuemill.plans import cars
+from valuemill.plans.boosted import BOOST_SQL
 from valuemill.plans.registry import CUT, NULL_RULES_SQL, PRIORITY_RANKS
 
 EPS = "2.220446049250313e-16"
@@ -246,3 +247,5 @@ f AS (SELECT l_orderkey, l_linenumber, split, year, km_driven, owner, round_even
   {", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _GAPPY if c != "seats")} FROM x, m),
 s AS (SELECT {", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in _NUMERIC)} FROM f WHERE split = 'train')
 SELECT l_orderkey, l_linenumber, split, {", ".join(f"round(({c} - a_{c}) / CASE WHEN s_{c} < {CONST_STD} THEN 1 ELSE s_{c} END, 6) AS {c}" for c in _NUMERIC)} FROM f, s"""
+
+ORACLE_SQL.update(BOOST_SQL)
