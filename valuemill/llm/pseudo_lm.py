@@ -2,9 +2,10 @@
 
 A word is one of 32 x 32 classes of its hash. The network sums position-wise vectors of the two words to
 either side, and gives the first digit of the middle word's class, then the second given the first. It is
-trained on the whole corpus: each partition takes gradient steps over the masked words of all its documents,
-from common weights; over the rounds every word is masked once, and the weights are averaged by the words that they saw, round after round. What is
-gathered grows with the partitions; it meets in groups of FAN weights, so no task or driver takes all.
+trained on the whole corpus, every word masked once: a hash of id and text deals each document to a round and, within it,
+to a training part of about PART_BYTES, so parts follow the corpus and not its files or the cores that read them. Each part takes
+gradient steps over the words of its documents in the order of their hashes, from the round's common weights; the weights of
+all parts are averaged by the words they saw and start the next round. Sums of weights meet in groups of FAN tasks, so no task or driver takes all.
 A word's probability is that of its class times its share of the class's words, counted over the whole corpus.
 A document's score is the sum of the log-probabilities of all its words.
 """
@@ -15,21 +16,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from valuemill.llm.common import blocks, mix64, utf8_block, word_hashes
+from valuemill.llm.common import BLOCK_BYTES, blocks, utf8_block, word_hashes
 from valuemill.session import materialize
 
 #: Values of a digit, classes, words to either side, hidden units.
 DIGIT, SIDE, HIDDEN = 32, 2, 16
 CLASSES = DIGIT * DIGIT
-#: Words are dealt into MASKED groups by hash and place; each round masks its share of the groups, one after the other, so that each is masked in one round.
-MASKED, ROUNDS, BATCH, RATE, FAN = 16, 2, 256, 0.3, 64
+#: Rounds of averaging, words of a gradient step, its rate, sums of weights that meet in one group.
+ROUNDS, BATCH, RATE, FAN = 2, 256, 0.3, 64
+#: Bytes of text of a training part (in the mean: documents are dealt by hash).
+PART_BYTES = 1 << 22
 _SHAPES = ((2 * SIDE, CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, DIGIT), (DIGIT,), (HIDDEN, DIGIT), (DIGIT, DIGIT))
 _STEP = 1 << 14
-#: Rows that share one look-up of their words' counts.
-LOOKUP = 1024
+#: At most so many of the most frequent words have their shares sent to every task (16 bytes each); all others are joined.
+FREQUENT = 1 << 18
+#: Shares are whole numbers of 1 / UNIT, so their sums don't depend on the order in which they meet.
+UNIT = 1 << 24
 
 
 class WindowNetwork:
@@ -48,6 +54,9 @@ class WindowNetwork:
     def packed(self) -> bytes:
         return np.concatenate([p.ravel() for p in self.params]).astype("<f4").tobytes()
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([p.ravel() for p in self.params]).astype(np.float64)
+
     def _hidden(self, around: np.ndarray) -> np.ndarray:
         vectors, bias = self.params[:2]
         total = vectors[0][around[:, 0]] + bias
@@ -84,11 +93,19 @@ class WindowNetwork:
         w1 -= scale * (hidden.T @ one)
         b1 -= scale * one.sum(axis=0)
         w2 -= scale * (hidden.T @ two)
-        np.add.at(given, first, -scale * two)
+        digits = np.zeros((DIGIT, len(word)), np.float32)
+        digits[first, n] = scale
+        given -= digits @ two
         bias -= scale * slope.sum(axis=0)
-        for k in range(2 * SIDE):
-            np.add.at(vectors[k], around[:, k], -scale * slope)
-        for p in self.params:
+        # Rows of the vectors that the words around name, each changed once by the sum of its slopes.
+        flat = (around + np.arange(2 * SIDE) * (CLASSES + 1)).T.ravel()
+        order = np.argsort(flat, kind="stable")
+        named = flat[order]
+        begin = np.flatnonzero(np.r_[True, named[1:] != named[:-1]])
+        table = vectors.reshape(-1, HIDDEN)
+        changed = table[named[begin]] - scale * np.add.reduceat(slope[order % len(word)], begin, axis=0)
+        table[named[begin]] = np.clip(changed, -8, 8, out=changed)
+        for p in (bias, w1, b1, w2, given):
             np.clip(p, -8, 8, out=p)
 
 
@@ -105,49 +122,88 @@ def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return around, word, doc, hashes
 
 
-def _averaged(rows: DataFrame) -> DataFrame:
-    """Weights of groups of FAN partitions, averaged by their words; in the order of partitions, so the sum doesn't depend on arrival."""
-    def mean(batch: pa.Table) -> pa.Table:
-        batch = batch.sort_by("part")
-        seen = np.asarray(batch.column("words").to_pylist(), np.float64)
-        total = sum(w * np.frombuffer(x, "<f4").astype(np.float64) for w, x in zip(seen, batch.column("weights").to_pylist(), strict=True))
-        return pa.table({"part": pa.array([batch.column("part")[0].as_py() // FAN], pa.int64()), "words": pa.array([int(seen.sum())], pa.int64()),
-                         "weights": pa.array([(total / seen.sum()).astype("<f4").tobytes()], pa.binary())})
-    return rows.groupBy(F.floor(F.col("part") / FAN)).applyInArrow(mean, "part long, words long, weights binary")
-
-
-def train(docs: DataFrame, rounds: int = ROUNDS, text: str = "text") -> bytes:
-    """The network's weights, from all documents. Without words they are the initial ones."""
+def pieces(batches: Iterator[pa.RecordBatch], most: int = BLOCK_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(part, texts) of rows sorted by part: the next rows of a part up to ``most`` bytes or just above. The rows alone say where pieces end, not the batches that bring them."""
+    own, held, size = None, [], 0
+    for batch in batches:
+        part = batch.column(0).to_numpy()
+        text = batch.column(1).cast(pa.large_string())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        i = 0
+        while i < len(part):
+            if held and part[i] != own:
+                yield own, pa.concat_arrays(held)
+                held, size = [], 0
+            own, stop, before = int(part[i]), int(np.searchsorted(part, part[i], side="right")), int(ends[i - 1]) if i else 0
+            j = min(stop, int(np.searchsorted(ends, before + most - size)) + 1)
+            held.append(text.slice(i, j - i))
+            size += int(ends[j - 1]) - before
+            if size >= most:
+                yield own, pa.concat_arrays(held)
+                held, size = [], 0
+            i = j
+    if held:
+        yield own, pa.concat_arrays(held)
+
+
+def learned(batches: Iterator[pa.RecordBatch], start: bytes, rate: float) -> tuple[int, np.ndarray]:
+    """(words, sum of weights times words) of the parts of these rows, each trained on all its words from ``start``."""
+    seen, total, net, own, words, k = 0, 0.0, WindowNetwork(start), None, 0, 0
+    for part, texts in pieces(batches):
+        if part != own:
+            seen, total = seen + words, total + words * net.flat()
+            net, own, words, k = WindowNetwork(start), part, 0, 0
+        around, word, _, _ = windows(*utf8_block(texts))
+        masked = np.random.default_rng(k).permutation(len(word))
+        for at in range(0, len(word), BATCH):
+            rows = masked[at:at + BATCH]
+            net.learn(around[rows], word[rows], rate)
+        words, k = words + len(word), k + 1
+    return seen + words, total + words * net.flat()
+
+
+def _added(rows: DataFrame) -> DataFrame:
+    """Sums of groups of FAN tasks."""
+    def add(batch: pa.Table) -> pa.Table:
+        batch = batch.sort_by("task")
+        total = sum(np.frombuffer(x, "<f8") for x in batch.column("weights").to_pylist())
+        return pa.table({"task": pa.array([batch.column("task")[0].as_py() // FAN], pa.int64()), "words": pa.array([sum(batch.column("words").to_pylist())], pa.int64()),
+                         "weights": pa.array([total.tobytes()], pa.binary())})
+    return rows.groupBy(F.floor(F.col("task") / FAN)).applyInArrow(add, "task long, words long, weights binary")
+
+
+def train(docs: DataFrame, rounds: int = ROUNDS, text: str = "text", id_col: str = "doc_id") -> bytes:
+    """The network's weights, from all documents; the same, up to rounding, however rows lie in files and partitions. Without words they are the initial ones.
+
+    Each text moves once, to its part. Null and empty texts have no words. Rows equal in id and text are of one part, which is read as a stream.
+    """
     weights = WindowNetwork().packed()
+    rows = docs.select(F.xxhash64(F.col(id_col), F.col(text)).alias("deal"), F.col(text).alias("text")).where("octet_length(text) > 0")
+    rows = rows.withColumn("turn", F.pmod("deal", F.lit(rounds)))
+    sizes = dict(rows.groupBy("turn").agg(F.sum(F.octet_length("text"))).collect())  # one row a round
     for turn in range(rounds):
-        def run(batches: Iterator[pa.RecordBatch], start: bytes = weights, turn: int = turn) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], start: bytes = weights, rate: float = RATE / (1 + turn)) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
-            net, seen = WindowNetwork(start), 0
-            for batch in batches:
-                data, offsets = utf8_block(batch.column(0))
-                for i, j in blocks(offsets):
-                    around, word, _, hashes = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-                    dealt = (mix64(hashes + np.arange(len(word), dtype=np.uint64)) % np.uint64(MASKED)).astype(np.int64)
-                    for group in range(turn, MASKED, rounds):
-                        masked = np.random.default_rng(group).permutation(np.flatnonzero(dealt == group))
-                        for at in range(0, len(masked), BATCH):
-                            own = masked[at:at + BATCH]
-                            net.learn(around[own], word[own], RATE / (1 + turn))
-                        seen += len(masked)
+            seen, total = learned(batches, start, rate)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([seen], pa.int64()), pa.array([net.packed()], pa.binary())], ["part", "words", "weights"])
-
-        rows = _averaged(_averaged(docs.select(text).mapInArrow(run, "part long, words long, weights binary"))).collect()
-        rows.sort(key=lambda r: r["part"])
-        if rows:
-            words = sum(r["words"] for r in rows)
-            weights = (sum(r["words"] * np.frombuffer(r["weights"], "<f4").astype(np.float64) for r in rows) / words).astype("<f4").tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([seen], pa.int64()), pa.array([total.tobytes()], pa.binary())], ["task", "words", "weights"])
+
+        parts = -(-sizes.get(turn, 0) // PART_BYTES)
+        if not parts:
+            continue
+        own = rows.where(F.col("turn") == turn).select(F.pmod(F.shiftrightunsigned("deal", 20), F.lit(parts)).alias("part"), "deal", "text")
+        own = own.repartition("part").sortWithinPartitions("part", "deal").select("part", "text")
+        found = _added(_added(own.mapInArrow(run, "task long, words long, weights binary"))).collect()
+        if found:
+            found.sort(key=lambda r: r["task"])
+            words = sum(r["words"] for r in found)
+            weights = (sum(np.frombuffer(r["weights"], "<f8") for r in found) / words).astype("<f4").tobytes()
     return weights
 
 
 def word_shares(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, share): log of each word's share of the words of its class, counted over all documents; a word is named by its hash."""
+    """(word, n, share): how often each word occurs in all documents, and the log of its share of the words of its class, in units of 1 / UNIT; a word is named by its hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8_block(batch.column(0))
@@ -157,59 +213,60 @@ def word_shares(docs: DataFrame, text: str = "text") -> DataFrame:
 
     counts = materialize(docs.select(text).mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     of = F.shiftrightunsigned("word", 54)
-    totals = counts.groupBy(of.alias("of")).agg(F.sum("n").alias("total"))
-    return counts.join(F.broadcast(totals), of == F.col("of")).select("word", F.log(F.col("n") / F.col("total")).alias("share"))
+    totals = counts.groupBy(of.alias("of")).agg(F.sum("n").alias("total"))  # CLASSES rows
+    return counts.join(F.broadcast(totals), of == F.col("of")).select("word", "n", F.round(F.log(F.col("n") / F.col("total")) * UNIT).cast("long").alias("share"))
+
+
+def frequent(shares: DataFrame, most: int) -> tuple[int, np.ndarray, np.ndarray]:
+    """(least, words in order, shares): the words that occur ``least`` times or more, ``least`` being the first power of two for which they are ``most`` or fewer."""
+    digits = F.length(F.bin("n"))
+    have = dict(shares.groupBy(digits.alias("digits")).count().collect())  # at most 63 rows
+    least = 1
+    while sum(c for d, c in have.items() if 2 ** (d - 1) >= least) > most:
+        least *= 2
+    found = shares.where(F.col("n") >= least).select("word", "share").toArrow()
+    words, share = found.column("word").to_numpy(), found.column("share").to_numpy()
+    order = np.argsort(words)
+    return least, words[order], share[order]
 
 
 def scored(docs: DataFrame, weights: bytes, id_col: str = "doc_id", text: str = "text", shares: DataFrame | None = None) -> DataFrame:
-    """id, n_words, log_probability (sum over all words), mean_log_probability and pseudo_perplexity of every row.
+    """id, mean_log_probability, pseudo_perplexity, log_probability (sum over all words) and n_words of every row.
 
     With ``shares`` (``word_shares`` of a corpus that has these documents) probabilities are of words, else of their classes.
     Null texts count as empty: no words, 0, and null for the mean and the perplexity. Other columns are ignored; equal texts have equal scores.
+    Shares of the FREQUENT words are sent to every task; every other word of a row is joined with its share and summed by row.
     """
-    def score(net: WindowNetwork, batch: pa.RecordBatch | pa.Table, words: np.ndarray | None = None, share: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        data, offsets = utf8_block(batch.column(1))
-        for i, j in blocks(offsets):
-            around, word, doc, hashes = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
-            log = net.log_probabilities(around, word).astype(np.float64)
-            if words is not None and len(word):
-                log += share[np.searchsorted(words, hashes.view(np.int64))]
-            n = np.bincount(doc, minlength=j - i)
-            total = np.bincount(doc, log, minlength=j - i)
-            mean = np.divide(total, n, out=np.zeros(j - i), where=n > 0)
-            none = n == 0
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), pa.array(total), pa.array(mean, mask=none), pa.array(np.exp(-mean), mask=none)],
-                                             [id_col, "n_words", "log_probability", "mean_log_probability", "pseudo_perplexity"])
+    least, known, known_share = frequent(shares, FREQUENT) if shares is not None else (1, None, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = WindowNetwork(weights)
         for batch in batches:
-            yield from score(net, batch)
+            data, offsets = utf8_block(batch.column(1))
+            for i, j in blocks(offsets):
+                around, word, doc, hashes = windows(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
+                log = net.log_probabilities(around, word).astype(np.float64)
+                total, other, others = np.bincount(doc, log, minlength=j - i), np.zeros(0, np.int64), np.zeros(j - i, np.int64)
+                share = np.zeros(j - i)
+                if known is not None and len(word):
+                    name = hashes.view(np.int64)
+                    at = np.minimum(np.searchsorted(known, name), max(len(known) - 1, 0))
+                    found = known[at] == name if len(known) else np.zeros(len(name), bool)
+                    share = np.bincount(doc[found], known_share[at[found]], minlength=j - i)
+                    other, others = name[~found], np.bincount(doc[~found], minlength=j - i)
+                ends = np.concatenate([[0], np.cumsum(others)]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(np.bincount(doc, minlength=j - i), pa.int64()), pa.array(total), pa.array(share.astype(np.int64)),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(other, pa.int64()))], ["id", "n", "log", "share", "other"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {kind}, n_words long, log_probability double, mean_log_probability double, pseudo_perplexity double"
-    if shares is None:
-        return docs.select(id_col, text).mapInArrow(run, schema)
-
-    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(part, word) for the words of each part of the rows, once a batch."""
-        for batch in batches:
-            part = batch.column(1).to_numpy()
-            data, offsets = utf8_block(batch.column(0))
-            for i, j in blocks(offsets):
-                hashes, doc, _, _ = word_hashes(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i], lower=True)
-                for p in np.unique(part[i:j]):
-                    words = np.unique(hashes[part[i:j][doc] == p])
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(words), p)), pa.array(words.view(np.int64))], ["part", "word"])
-
-    def with_shares(rows: pa.Table, found: pa.Table) -> pa.Table:
-        words, at = np.unique(found.column("word").to_numpy(), return_index=True)
-        rows = rows.combine_chunks().select([0, 1])
-        out = [b for r in rows.to_batches() for b in score(WindowNetwork(weights), r, words, found.column("share").to_numpy()[at])]
-        return pa.Table.from_batches(out)
-
-    # Written, so that a row's place in its file names its part, on every run of a task.
-    rows = materialize(docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")), "pseudo-rows")
-    rows = rows.withColumn("part", F.xxhash64("_metadata.file_path", F.floor(F.col("_metadata.row_index") / LOOKUP)))
-    found = rows.select("text", "part").mapInArrow(used, "part long, word long").join(shares, "word").select("part", "word", "share")
-    return rows.groupBy("part").cogroup(found.groupBy("part")).applyInArrow(with_shares, schema)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(run, f"id {kind}, n long, log double, share long, other array<long>")
+    total = F.col("log")
+    if shares is not None:
+        # Written, so that a row has a name, its file and place, which is the same for every run of a task.
+        rows = materialize(rows, "pseudo-scores").select("*", F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("place"))
+        rest = shares.where(F.col("n") < least).select("word", F.col("share").alias("rest"))
+        sums = rows.select("file", "place", F.explode("other").alias("word")).join(rest, "word").groupBy("file", "place").agg(F.sum("rest").alias("rest"))
+        rows = rows.drop("other").join(sums, ["file", "place"], "left")
+        total = total + (F.col("share") + F.coalesce("rest", F.lit(0))) / UNIT
+    rows = rows.select("id", "n", total.alias("total")).withColumn("mean", F.when(F.col("n") > 0, F.col("total") / F.col("n")))
+    return rows.select(F.col("id").alias(id_col), F.col("mean").alias("mean_log_probability"), F.exp(-F.col("mean")).alias("pseudo_perplexity"), F.col("total").alias("log_probability"), F.col("n").alias("n_words"))
