@@ -32,6 +32,8 @@ ROUNDS, BATCH, RATE, FAN = 2, 256, 0.3, 64
 PART_BYTES = 1 << 22
 _SHAPES = ((2 * SIDE, CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, DIGIT), (DIGIT,), (HIDDEN, DIGIT), (DIGIT, DIGIT))
 _STEP = 1 << 14
+#: Where the vectors of each place around begin.
+_SIDES = np.arange(2 * SIDE) * (CLASSES + 1)
 #: At most so many of the most frequent words have their shares sent to every task (16 bytes each); all others are joined.
 FREQUENT = 1 << 18
 #: Shares are whole numbers of 1 / UNIT, so their sums don't depend on the order in which they meet.
@@ -80,33 +82,45 @@ class WindowNetwork:
         return out
 
     def learn(self, around: np.ndarray, word: np.ndarray, rate: float) -> None:
+        """One gradient step; words run along the last axis, so sums over classes and units are sums of whole rows."""
         vectors, bias, w1, b1, w2, given = self.params
         first, second, n = word // DIGIT, word % DIGIT, np.arange(len(word))
-        hidden = self._hidden(around)
-        one, two = hidden @ w1 + b1, hidden @ w2 + given[first]
-        for x, y in ((one, first), (two, second)):
-            np.exp(x - x.max(axis=1, keepdims=True), out=x)
-            x /= x.sum(axis=1, keepdims=True)
-            x[n, y] -= 1
-        slope = (one @ w1.T + two @ w2.T) * (1 - hidden ** 2)
+        flat = (around + _SIDES).T.ravel()
+        table = vectors.reshape(-1, HIDDEN)
+        near = np.take(table, flat, axis=0).reshape(2 * SIDE, len(word), HIDDEN)
+        hidden = np.ascontiguousarray((near.sum(axis=0) + bias).T)
+        np.tanh(hidden, out=hidden)
         scale = np.float32(rate / np.sqrt(len(word)))
-        w1 -= scale * (hidden.T @ one)
-        b1 -= scale * one.sum(axis=0)
-        w2 -= scale * (hidden.T @ two)
         digits = np.zeros((DIGIT, len(word)), np.float32)
-        digits[first, n] = scale
-        given -= digits @ two
-        bias -= scale * slope.sum(axis=0)
+        digits[first, n] = 1
+        one, two = w1.T @ hidden + b1[:, None], w2.T @ hidden + given.T @ digits
+        for x, y in ((one, first), (two, second)):
+            x -= x.max(axis=0)
+            np.exp(x, out=x)
+            x /= x.sum(axis=0)
+            x[y, n] -= 1
+        slope = w1 @ one + w2 @ two
+        slope *= 1 - hidden * hidden
+        slope *= scale
+        one *= scale
+        two *= scale
+        w1 -= hidden @ one.T
+        b1 -= one.sum(axis=1)
+        w2 -= hidden @ two.T
+        given -= digits @ two.T
+        bias -= slope.sum(axis=1)
         # Rows of the vectors that the words around name, each changed once by the sum of its slopes.
-        flat = (around + np.arange(2 * SIDE) * (CLASSES + 1)).T.ravel()
-        order = np.argsort(flat, kind="stable")
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
         named = flat[order]
-        begin = np.flatnonzero(np.r_[True, named[1:] != named[:-1]])
-        table = vectors.reshape(-1, HIDDEN)
-        changed = table[named[begin]] - scale * np.add.reduceat(slope[order % len(word)], begin, axis=0)
-        table[named[begin]] = np.clip(changed, -8, 8, out=changed)
+        begin = np.flatnonzero(np.diff(named, prepend=-1))
+        rows = named[begin]
+        changed = np.take(table, rows, axis=0)
+        changed -= np.add.reduceat(np.take(np.ascontiguousarray(slope.T), order % len(word), axis=0), begin, axis=0)
+        np.minimum(changed, 8, out=changed)
+        table[rows] = np.maximum(changed, -8, out=changed)
         for p in (bias, w1, b1, w2, given):
-            np.clip(p, -8, 8, out=p)
+            np.minimum(p, 8, out=p)
+            np.maximum(p, -8, out=p)
 
 
 def windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
