@@ -207,6 +207,15 @@ FROM q LEFT JOIN n ON q.hashed = n.hashed"""
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]
 
 ORACLE_SQL["csv_documents"] = "SELECT * FROM documents"
+ORACLE_SQL["csv_split_documents"] = "SELECT * FROM documents"
+_UNTYPED = cars.KEY_COLS + cars.FEATURE_INPUTS + [cars.LABEL]
+_RAW_CARS = f"raw AS (SELECT {cars.RAW_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey)"
+ORACLE_SQL["csv_inferred_records"] = f"WITH {_RAW_CARS} SELECT {', '.join(_UNTYPED)} FROM raw"
+ORACLE_SQL["csv_inferred_types"] = f"""WITH {_RAW_CARS},
+v AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, CAST({c} AS VARCHAR) AS v FROM raw" for c in _UNTYPED)}),
+k AS (SELECT name, CASE WHEN v IS NULL OR v = '' THEN 0 WHEN regexp_full_match(v, '[+-]?[0-9]+') THEN 1
+  WHEN regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN 2 ELSE 3 END AS kind FROM v)
+SELECT name, CASE WHEN max(kind) = 3 THEN 'string' WHEN max(kind) = 1 AND min(kind) = 1 THEN 'int64' ELSE 'float64' END AS dtype FROM k GROUP BY name"""
 ORACLE_SQL["validate_car_requests"] = f"""WITH raw AS (SELECT {cars.RAW_SELECT_SQL} FROM lineitem JOIN part ON l_partkey = p_partkey),
 r AS (SELECT * REPLACE (CASE WHEN l_orderkey % 7 = 0 THEN seats + 0.5 ELSE seats END AS seats,
                         CASE WHEN l_orderkey % 9 = 0 THEN 'Steam' ELSE fuel END AS fuel) FROM raw),

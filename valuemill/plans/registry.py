@@ -20,7 +20,7 @@ from valuemill.operators import (OneHotDropFirst, PopulationStandardScaler, best
 from valuemill.operators.impute import IterativeImputer
 from valuemill.plans import cars
 from valuemill.session import materialize, scratch_path, sf_path, spread
-from valuemill.sources import (append_requests, decode_binary, read_csv, read_day, read_optional,
+from valuemill.sources import (append_requests, decode_binary, infer_types, read_csv, read_csv_inferred, read_csv_split, read_day, read_optional,
                                rename_tail, write_csv)
 
 R = numeric.round6
@@ -400,6 +400,32 @@ def q_csv_documents(spark, sf_dir):
     return read_csv(spark, path, docs.schema)
 
 
+def q_csv_split_documents(spark, sf_dir):
+    """Texts with line breaks through one CSV file and back, the file read by its splits."""
+    docs = _t(spark, sf_dir, "documents")
+    path = scratch_path(spark, "csv-split-documents")
+    write_csv(docs.coalesce(1), path)
+    return read_csv_split(spark, path, docs.schema)
+
+
+def _cars_without_schema(spark, sf_dir):
+    path = scratch_path(spark, "cars-untyped")
+    write_csv(cars.raw_records(spark, sf_dir).select(*cars.KEY_COLS, *cars.FEATURE_INPUTS, cars.LABEL), path)
+    return path
+
+
+def q_csv_inferred_records(spark, sf_dir):
+    """Raw car records through CSV without a schema: every column in the type that all its values allow."""
+    return read_csv_inferred(spark, _cars_without_schema(spark, sf_dir))
+
+
+def q_csv_inferred_types(spark, sf_dir):
+    """The types themselves, of the car records written with their gaps."""
+    from valuemill.sources.csv_split import read_texts
+    types = infer_types(read_texts(spark, _cars_without_schema(spark, sf_dir)))
+    return spark.createDataFrame(list(types.items()), "name string, dtype string")
+
+
 def q_land_raw_csv(spark, sf_dir):
     """Raw car records landed as CSV under path-like column names, read back with an explicit
     schema, names tidied, full-row dedupe, then a summary per fuel and transmission."""
@@ -461,6 +487,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "impute_ols": q_impute_ols,
     "impute_iterative": q_impute_iterative,
     "csv_documents": q_csv_documents,
+    "csv_split_documents": q_csv_split_documents,
+    "csv_inferred_records": q_csv_inferred_records,
+    "csv_inferred_types": q_csv_inferred_types,
     "csv_round_trip": q_csv_round_trip,
     "land_raw_csv": q_land_raw_csv,
     "decode_utf8": q_decode_utf8,

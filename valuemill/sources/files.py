@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 # One CSV dialect for both directions: quotes doubled (RFC 4180), blanks kept, a NULL is an empty
 # field and an empty text is a quoted one. The read-side NULL marker only has to be no real value.
-_READ_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
+READ_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
              "ignoreTrailingWhiteSpace": False, "nullValue": "\u0000", "emptyValue": ""}
 _WRITE_CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False,
               "ignoreTrailingWhiteSpace": False, "nullValue": "", "emptyValue": '""'}
@@ -29,7 +29,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     ``multiline=False`` lets one large file be split over tasks; use it only where no field holds a
     line break.
     """
-    r = spark.read.options(**{**_READ_CSV, "multiLine": multiline, **options})
+    r = spark.read.options(**{**READ_CSV, "multiLine": multiline, **options})
     if schema is not None:
         schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
         if corrupt_col:
