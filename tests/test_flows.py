@@ -5,10 +5,11 @@ import math
 
 import duckdb
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from valuemill.plans import cars, featurize, flagship, registry, train
+from valuemill.plans import cars, featurize, flagship, registry, scoring, train
 from valuemill.session import scratch_path
 from valuemill.sources import append_requests, land, read_optional, read_yesterday
 from valuemill.sources.catalog import Catalog
@@ -359,3 +360,30 @@ def test_errors_are_not_taken_for_absent_tables(spark, tmp_path):
     (tmp_path / "store" / "batch_id=0" / "x.parquet").write_text("no parquet")
     with pytest.raises(Exception):
         _store(spark, str(tmp_path / "store")).current().collect()
+
+
+def test_stream_with_saved_champions(spark, sf_dir, fitted):
+    """Each batch is scored by the pipeline and model that the runs table names then."""
+    from valuemill.plans import lifecycle, selection
+    from valuemill.streaming.scorer import score_champion_stream
+    pipeline, ptr, pte, feats = fitted
+    runs = scratch_path(spark, "swap-runs")
+    for n, trees in enumerate((2, 6)):
+        gbt = train.fit_with_params(train.assemble(ptr, feats), flagship.LABEL_LOG, {"n_estimators": trees, "max_depth": 3})
+        lifecycle.save_model(spark, pipeline, gbt, f"{runs}-model{n}")
+    reqs = flagship.prepared(spark, sf_dir).dropna(subset=cars.FEATURE_INPUTS).withColumn("request_id", _record_id()) \
+        .orderBy("request_id").limit(60).withColumn("half", F.ntile(2).over(Window.orderBy("request_id"))).persist()
+    src, out, store = scratch_path(spark, "swap-src"), scratch_path(spark, "swap-out"), _store(spark, scratch_path(spark, "swap-store"))
+    for n in range(2):
+        selection.record_run(spark, runs, f"m{n}", "champion", {}, {}, dt.datetime(2024, 1, 1 + n), f"{runs}-model{n}")
+        part = reqs.where(F.col("half") == n + 1).drop("half")
+        part.write.mode("append").parquet(src)
+        paths = score_champion_stream(spark, src, part.schema, cars.request_rules(), runs, store, out, "request_id", inverse="expm1")
+    got = {r.request_id: r for r in spark.read.parquet(paths["results"]).collect()}
+    assert len(got) == 60
+    for n in range(2):
+        c = lifecycle.champion_at(spark, {"model_id": "", "params": {}, "location": f"{runs}-model{n}"})
+        want = scoring.predict(c.pipeline.transform(reqs.where(F.col("half") == n + 1)), c.features, c.model, "expm1").select("request_id", "prediction").collect()
+        missed = [r for r in want if not got[r.request_id].hit]
+        assert missed and all(got[r.request_id].model_id == f"m{n}" for r in missed)
+        assert all(math.isclose(got[r.request_id].prediction, r.prediction, rel_tol=1e-12) for r in missed)

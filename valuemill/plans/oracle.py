@@ -44,10 +44,11 @@ def _key(cols_sql: list[str]) -> str:
     return "concat_ws(' ', " + ", ".join(f"coalesce(substr({c}, 1, 15), 'nan')" for c in cols_sql) + ")"
 
 
-_REQ = f"""
+_KEYED = f"""
 WITH r AS (SELECT event_id, ts, value,
     sha256({_key(["event_type", "CAST(CAST(user_id AS DECIMAL(38,6)) AS VARCHAR)",
-                  "CAST(CAST(hour(ts) AS DECIMAL(38,6)) AS VARCHAR)"])}) AS hashed FROM events),
+                  "CAST(CAST(hour(ts) AS DECIMAL(38,6)) AS VARCHAR)"])}) AS hashed FROM events)"""
+_REQ = f"""{_KEYED},
 s AS (SELECT hashed, avg(value) AS prediction FROM r WHERE ts < TIMESTAMP '{CUT}' GROUP BY hashed),
 q AS (SELECT event_id, hashed, value FROM r WHERE ts >= TIMESTAMP '{CUT}')"""
 
@@ -206,6 +207,20 @@ FROM q LEFT JOIN n ON q.hashed = n.hashed"""
 # The streaming lookup returns what the batch lookup returns.
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]
 
+# Sent again within the delay: once. Late: later than the end of the second part's time less the delay.
+ORACLE_SQL["stream_requests_once"] = """
+WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 12 DAY AS wm FROM events WHERE ts < TIMESTAMP '2024-01-21'),
+e AS (SELECT event_id, ts, ts < TIMESTAMP '2024-01-11' AND event_id % 11 = 0 AND ts <= wm AS late FROM events, w)
+SELECT event_id, CASE WHEN late THEN 'late' ELSE 'answered' END AS outcome, CASE WHEN NOT late THEN CAST(ts AS DATE) END AS request_date FROM e"""
+ORACLE_SQL["stream_promoted"] = _KEYED + """,
+a AS (SELECT hashed, max(event_id) AS event_id, max_by(value, event_id) AS value FROM r
+  WHERE ts < TIMESTAMP '2024-01-11' AND event_id % 11 <> 0 GROUP BY hashed),
+b AS (SELECT hashed, max(event_id) AS event_id, max_by(value, event_id) AS value FROM r
+  WHERE ts >= TIMESTAMP '2024-01-21' OR (ts >= TIMESTAMP '2024-01-11' AND event_id % 7 = 0) OR (ts < TIMESTAMP '2024-01-11' AND event_id % 11 = 0) GROUP BY hashed)
+SELECT event_id, hashed, FALSE AS hit, 'first' AS model_id, round(value * 2, 6) AS prediction FROM a
+UNION ALL SELECT b.event_id, b.hashed, a.hashed IS NOT NULL, CASE WHEN a.hashed IS NULL THEN 'second' END,
+  round(CASE WHEN a.hashed IS NULL THEN b.value * 3 ELSE a.value * 2 END, 6) FROM b LEFT JOIN a ON a.hashed = b.hashed"""
+
 ORACLE_SQL["csv_documents"] = "SELECT * FROM documents"
 ORACLE_SQL["csv_split_documents"] = "SELECT * FROM documents"
 _UNTYPED = cars.KEY_COLS + cars.FEATURE_INPUTS + [cars.LABEL]
