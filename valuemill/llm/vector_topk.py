@@ -1,9 +1,15 @@
 """Exact top-k inner products: candidates in order of falling norm, SVD-rotated partial sums, Cauchy-Schwarz bounds.
 
-Queries and candidates meet in blocks: a candidate block goes once to each query block. Within a block
-the candidates are taken by falling norm. A query leaves when its norm times the next norm cannot reach
-its k-th best score; a pair leaves when its partial product over the leading rotated dimensions plus the
-product of the residual norms cannot. The pairs that remain get their exact integer product.
+All candidates are put in slices by falling norm, the slices in bands that grow by a factor. The first band, the
+longest vectors, gives each query a first k-th best score. A later band is met only by queries whose norm
+times a slice's largest norm can still reach their k-th best score, which is decided before anything is
+exchanged; when no query is left, the rest of the bands is not read. Queries that reach equally far share a
+block, so a candidate is copied once for each block of queries that it may serve.
+
+Where a block of queries meets a block of candidates, these are taken by falling norm again. A query leaves
+when its norm times the next norm cannot reach its k-th best score; a pair leaves when its partial product
+over the leading rotated dimensions plus the product of the residual norms cannot. The pairs that remain get
+their exact integer product.
 """
 
 from __future__ import annotations
@@ -16,8 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from valuemill.session import materialize
+
 #: Rows of a candidate block and of a query block (means), candidates taken at once, share of the squares that the leading dimensions hold.
 CANDIDATES, QUERIES, STEP, LEADING = 8192, 2048, 512, 0.6
+#: A band ends at GROWTH times the rank of the one before it and has GROWTH - 1 slices; accuracy of the norms at which slices end.
+GROWTH, ACCURACY = 16, 100_000
 #: Blocks of partial Gram matrices that the driver adds up.
 GRAM_PARTS = 32
 _EXACT = 1 << 52
@@ -60,15 +70,6 @@ def rotation(rows: DataFrame, dims: int) -> np.ndarray:
     return np.linalg.eigh(gram)[1][:, ::-1].copy()
 
 
-def _unique(ids: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One row for each id: the smallest vector."""
-    order = np.lexsort((*m.T[::-1], ids)) if m.shape[1] else np.argsort(ids, kind="stable")
-    ids, m = ids[order], m[order]
-    first = np.ones(len(ids), bool)
-    first[1:] = ids[1:] != ids[:-1]
-    return ids[first], m[first]
-
-
 def _exact(q: np.ndarray, c: np.ndarray, small: bool) -> np.ndarray:
     """Row by row inner products, exact; beyond 64 bits they stop at the limits."""
     if small:
@@ -77,9 +78,8 @@ def _exact(q: np.ndarray, c: np.ndarray, small: bool) -> np.ndarray:
     return np.array([min(max(sum(a * b for a, b in zip(x, y, strict=True)), lo), hi) for x, y in zip(q.tolist(), c.tolist(), strict=True)], np.int64)
 
 
-def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, rot: np.ndarray, k: int, small: bool) -> tuple[np.ndarray, ...]:
-    """(query id, candidate id, score) of the k best candidates of each query among one block of candidates."""
-    cid, c = _unique(cid, c)
+def block_topk(qid: np.ndarray, q: np.ndarray, floor: np.ndarray, cid: np.ndarray, c: np.ndarray, rot: np.ndarray, k: int, small: bool) -> tuple[np.ndarray, ...]:
+    """(query id, candidate id, score) of the k best candidates of each query among one block of candidates, but for scores below ``floor``."""
     fq, fc = q.astype(np.float64), c.astype(np.float64)
     nq, nc = np.linalg.norm(fq, axis=1), np.linalg.norm(fc, axis=1)
     order = np.argsort(-nc, kind="stable")
@@ -89,7 +89,7 @@ def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, r
     lead = int(np.searchsorted(held, LEADING * held[-1])) + 1 if len(held) else 0
     restq, restc = np.linalg.norm(rq[:, lead:], axis=1), np.linalg.norm(rc[:, lead:], axis=1)
     slack = 1e-9 * (nq.max(initial=0) * nc.max(initial=0)) + 0.25  # more than rounding can take; exact scores are whole numbers
-    best = np.full(len(qid), -np.inf)
+    best = floor.copy()
     keep = (np.zeros(0, np.int64),) * 3  # query index, score, candidate id
     for at in range(0, len(cid), STEP):
         alive = np.flatnonzero(nq * nc[at] + slack >= best)
@@ -111,10 +111,35 @@ def block_topk(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, r
         rank = np.arange(len(who)) - np.searchsorted(who, who, side="left")
         keep = who[rank < k], what[rank < k], which[rank < k]
         last = rank == k - 1
-        best[who[last]] = what[last]
+        best[who[last]] = np.maximum(best[who[last]], what[last])
     return qid[keep[0]], keep[2], keep[1]
 
 
+def _slices(n: int) -> tuple[list[int], list[int]]:
+    """Ranks by falling norm at which all slices of n rows but the last end, and the band of each slice; some GROWTH * log(n) of them."""
+    ends, bands = [CANDIDATES], [0]
+    while ends[-1] < n:
+        step, band = ends[-1], bands[-1] + 1
+        for _ in range(GROWTH - 1):
+            if ends[-1] < n:
+                ends.append(ends[-1] + step)
+                bands.append(band)
+    return ends[:-1], bands
+
+
+def _pick(index: Column, values: list) -> Column:
+    """The value at a zero-based index."""
+    return F.element_at(F.array(*[F.lit(x) for x in values]), index + 1)
+
+
+def _first(n: Column, name: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), n - 1)).alias(name)
+
+
+def _spread_over(n: Column) -> Column:
+    return F.pmod(F.xxhash64("id"), n).cast("int")
+
+
 def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each query row the k best other rows by integer inner product, ties to the smaller id.
 
@@ -122,25 +147,59 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 5, id_col:
     vector; shorter vectors count as ending in zeros; with fewer than k other rows all are returned; an empty
     table gives no rows. Other columns are ignored.
     """
-    rows = quantised(vectors, id_col, vector)
-    queries = rows.where(is_query).groupBy("id").agg(F.min("v").alias("v"))
-    size = rows.agg(F.count("*"), F.max(F.size("v")), F.sum(is_query.cast("int")),
-                    F.max(F.greatest(F.abs(F.coalesce(F.array_max("v"), F.lit(0)).cast("double")), F.abs(F.coalesce(F.array_min("v"), F.lit(0)).cast("double"))))).first()
-    dims, small = size[1] or 0, (size[3] or 0.0) ** 2 * max(1, size[1] or 0) < _EXACT
-    groups, parts = max(1, math.ceil(size[0] / CANDIDATES)), max(1, math.ceil((size[2] or 0) / QUERIES))
+    rows = quantised(vectors, id_col, vector).groupBy("id").agg(F.min("v").alias("v"))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    rows = materialize(rows.withColumn("norm", norm), "topk-vectors")
+    largest = F.max(F.greatest(F.abs(F.coalesce(F.array_max("v"), F.lit(0)).cast("double")), F.abs(F.coalesce(F.array_min("v"), F.lit(0)).cast("double"))))
+    n, dims, most, longest = rows.agg(F.count("*"), F.max(F.size("v")), largest, F.max("norm")).first()
+    if not n:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    small, slack = most ** 2 * max(1, dims) < _EXACT, 1e-9 * longest * longest + 0.25
     rot = rotation(rows, dims)
+    ends, bands = _slices(n)
+    cuts = rows.agg(F.percentile_approx("norm", [1 - e / n for e in ends], ACCURACY)).first()[0] if ends else []
+    shorter = F.size(F.filter(F.array(*[F.lit(float(c)) for c in cuts]), lambda c: F.col("norm") < c)) if cuts else F.lit(0)
+    placed = rows.withColumn("slice", shorter)
+    held = {r["slice"]: (r["n"], r["top"]) for r in placed.groupBy("slice").agg(F.count("*").alias("n"), F.max("norm").alias("top")).collect()}  # a row a slice
+    queries, best = rows.where(is_query), None
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        found = block_topk(left.column("id").to_numpy(), _matrix(left.column("v"), dims), right.column("id").to_numpy(), _matrix(right.column("v"), dims), rot, k, small) \
+        found = block_topk(left.column("query_id").to_numpy(), _matrix(left.column("q"), dims), left.column("floor").to_numpy(),
+                           right.column("id").to_numpy(), _matrix(right.column("v"), dims), rot, k, small) \
             if len(left) and len(right) else (np.zeros(0, np.int64),) * 3
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(x, pa.int64()) for x in found), strict=True)))
 
-    every = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    left = queries.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), every(groups, "grp"))
-    right = rows.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("grp"), every(parts, "part"))
-    found = left.groupBy("grp", "part").cogroup(right.groupBy("grp", "part")).applyInArrow(run, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    for band in sorted({bands[s] for s in held}):
+        mine = sorted(s for s in held if bands[s] == band)
+        kth = F.lit(-math.inf)
+        asked = queries
+        if best is not None:
+            asked = queries.join(best.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("kth")), "id", "left")
+            kth = F.coalesce("kth", F.lit(-math.inf))
+        tops = F.array(*[F.lit(held[s][1]) for s in mine])  # falling, so a query reaches the first so many slices
+        asked = asked.withColumn("floor", kth).withColumn("reach", F.size(F.filter(tops, lambda t: F.col("norm") * t + slack >= F.col("floor")))).where("reach > 0")
+        reached = dict(map(tuple, asked.groupBy("reach").count().collect()))  # at most a row a slice of the band
+        if not reached:
+            break
+        wide = list(range(len(mine) + 1))
+        parts = [math.ceil(reached.get(r, 0) / QUERIES) for r in wide]  # blocks of the queries of each reach, those of longer reach first
+        before = [sum(parts[r + 1:]) for r in wide]
+        blocks = [math.ceil(held[s][0] / CANDIDATES) for s in mine]
+        above = [sum(blocks[:j]) for j in wide]
+        part = _pick(F.col("reach"), before) + _spread_over(_pick(F.col("reach"), parts))
+        left = asked.select(F.col("id").alias("query_id"), F.col("v").alias("q"), "floor", part.alias("part"), _first(_pick(F.col("reach"), above), "block"))
+        at = F.array_position(F.array(*[F.lit(s) for s in mine]), F.col("slice")).cast("int") - 1
+        block = _pick(at, above) + _spread_over(_pick(at, blocks))
+        met = [s for j, s in enumerate(mine) if before[j]]
+        right = placed.where(F.col("slice").isin(met)).select("id", "v", block.alias("block"), _first(_pick(at, before), "part"))
+        found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(run, "query_id long, vec_id long, score long")
+        if best is not None:
+            found = found.unionByName(best.drop("rank"))
+        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+        best = materialize(found.withColumn("rank", rank).where(F.col("rank") <= k), "topk-best")
+    if best is None:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    return best.select("query_id", "rank", "vec_id", "score")
 
 
 TOPK_SQL = """
