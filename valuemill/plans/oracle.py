@@ -207,6 +207,7 @@ FROM q LEFT JOIN n ON q.hashed = n.hashed"""
 # The streaming lookup returns what the batch lookup returns.
 ORACLE_SQL["stream_score"] = ORACLE_SQL["lookup_or_score"]
 
+ORACLE_SQL["store_bucketed"] = ORACLE_SQL["store_lookup"]
 # Sent again within the delay: once. Late: later than the end of the second part's time less the delay.
 ORACLE_SQL["stream_requests_once"] = """
 WITH w AS (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 12 DAY AS wm FROM events WHERE ts < TIMESTAMP '2024-01-21'),

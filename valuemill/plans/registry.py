@@ -180,6 +180,13 @@ def q_lookup_or_score(spark, sf_dir):
     return out.select("event_id", "hashed", "hit", R("prediction").alias("prediction"))
 
 
+def _looked_up(store, requests):
+    j = store.lookup(requests, "prediction")
+    score = numeric.label_inverse(numeric.label_log("value"), "exp")
+    hit = F.col("_stored").isNotNull()
+    return j.select("event_id", "hashed", hit.alias("hit"), R(F.when(hit, F.col("_stored")).otherwise(score)).alias("prediction"))
+
+
 def q_store_lookup(spark, sf_dir):
     """Merge-on-read store: history loaded as one batch per day (newest batch wins per key), then
     the later requests are looked up; misses are scored."""
@@ -193,10 +200,20 @@ def q_store_lookup(spark, sf_dir):
                        order=["prediction"])  # one row per key and day: nothing to tell apart within a batch
     store.write_batches(daily.withColumn("b", F.datediff("day", F.lit("1970-01-01"))), "b")
     requests = _request_keys(ev.where(F.col("ts") >= cut)).select("event_id", "hashed", "value")
-    j = store.lookup(requests, "prediction")
-    score = numeric.label_inverse(numeric.label_log("value"), "exp")
-    hit = F.col("_stored").isNotNull()
-    return j.select("event_id", "hashed", hit.alias("hit"), R(F.when(hit, F.col("_stored")).otherwise(score)).alias("prediction"))
+    return _looked_up(store, requests)
+
+
+def q_store_bucketed(spark, sf_dir):
+    """The answers of ``store_lookup`` from a store bucketed by the key: history loaded as one batch per ten days (the newest day
+    wins per key), then the later requests are looked up in the batches whose filters pass them; misses are scored."""
+    from valuemill.sources import BucketedStore
+    ev = _events(spark, sf_dir)
+    cut = F.expr(f"TIMESTAMP_NTZ '{CUT}'")
+    daily = _request_keys(ev.where(F.col("ts") < cut)).groupBy("hashed", F.to_date("ts").alias("day")).agg(F.avg("value").alias("prediction"))
+    schema = T.StructType([T.StructField("hashed", T.StringType()), T.StructField("day", T.DateType()), T.StructField("prediction", T.DoubleType())])
+    store = BucketedStore(spark, scratch_path(spark, "bucketed-store"), "hashed", schema, order=["day"], buckets=8)
+    store.write_batches(daily.withColumn("b", F.floor(F.datediff("day", F.lit("1970-01-01")) / 10)), "b")
+    return _looked_up(store, _request_keys(ev.where(F.col("ts") >= cut)).select("event_id", "hashed", "value"))
 
 
 def q_lookup_miss(spark, sf_dir):
@@ -470,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_or_score": q_lookup_or_score,
     "lookup_miss": q_lookup_miss,
     "store_lookup": q_store_lookup,
+    "store_bucketed": q_store_bucketed,
     "union_sources": q_union_sources,
     "optional_source": q_optional_source,
     "requests_by_day": q_requests_by_day,
