@@ -12,7 +12,9 @@ from __future__ import annotations
 import csv
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,10 +31,16 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
-def _by_line(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], str]]:
-    """((file, block), line) in the order of the scan, which keeps a block's lines together."""
+def _by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], pa.Array, np.ndarray]]:
+    """((file, block), lines, whether each holds an odd number of quotes) in the order of the scan, which keeps a block's lines together."""
     for batch in batches:
-        yield from zip(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), batch.column(2).to_pylist(), strict=True)
+        if not batch.num_rows:
+            continue
+        file, start = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        odd = pc.count_substring(batch.column(2), '"').to_numpy(zero_copy_only=False) % 2 == 1
+        cuts = [0, *(np.flatnonzero((file[1:] != file[:-1]) | (start[1:] != start[:-1])) + 1).tolist(), batch.num_rows]
+        for at, end in zip(cuts, cuts[1:]):
+            yield (int(file[at]), int(start[at])), batch.column(2).slice(at, end - at), odd[at:end]
 
 
 def block_quotes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,13 +51,13 @@ def block_quotes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_pylist([{"file": now[0], "start": now[1], "odd": odd, "even_end": ends[0], "odd_end": ends[1], "head": head}],
                                           pa.schema([("file", pa.int64()), ("start", pa.int64()), ("odd", pa.bool_()), ("even_end", pa.bool_()), ("odd_end", pa.bool_()), ("head", pa.string())]))
 
-    for block, line in _by_line(batches):
+    for block, lines, quoted in _by_block(batches):
         if block != now:
             if now is not None:
                 yield out()
-            now, odd, ends, head = block, False, [False, False], line if block[1] == 0 else None
-        odd ^= line.count('"') % 2 == 1
-        ends[odd] = True
+            now, odd, ends, head = block, False, [False, False], lines[0].as_py() if block[1] == 0 else None
+        after = np.logical_xor.accumulate(quoted) ^ odd
+        ends, odd = [ends[0] or not after.all(), ends[1] or bool(after.any())], bool(after[-1])
     if now is not None:
         yield out()
 
@@ -70,43 +78,54 @@ def starts(blocks: list) -> dict[tuple[int, int], tuple[bool, int | None]]:
     return found
 
 
-def _records(known: dict, size: int = 1024):
+def _records(known: dict):
     """Records of each block in order: whole ones without ``begin``, fragments with the block where their record began. Headers are left out."""
-    schema = pa.schema([("file", pa.int64()), ("begin", pa.int64()), ("place", pa.int64()), ("piece", pa.string())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, now, held, odd, begin, header = [], None, [], False, None, False
-
-        def done(open_end: bool) -> None:
-            nonlocal held, begin, header
-            piece, held = "\n".join(held), []
-            if open_end and begin is None:
-                begin = now[1]
-            if header and not open_end:
-                header = False
-            elif piece or begin is not None:
-                rows.append({"file": now[0], "begin": begin, "place": now[1], "piece": piece})
-            begin = None
-
-        for block, line in _by_line(batches):
+        now, held, odd, begin, header = None, [], False, None, False
+
+        def rows(pieces: pa.Array, begun: int | None = None) -> pa.RecordBatch:
+            n = len(pieces)
+            return pa.RecordBatch.from_arrays([pa.array([now[0]] * n, pa.int64()), pa.array([begun] * n, pa.int64()), pa.array([now[1]] * n, pa.int64()), pieces],
+                                              ["file", "begin", "place", "piece"])
+
+        def fragment(begun: int | None) -> pa.RecordBatch:
+            return rows(pa.array(["\n".join(held)], kind), now[1] if begun is None else begun)
+
+        for block, lines, quoted in _by_block(batches):
+            kind = lines.type
             if block != now:
                 if held:
-                    done(True)
+                    yield fragment(begin)
                 if block not in known:
                     raise RuntimeError("the scan's splits changed between the two passes; read again")
-                now, (odd, begin) = block, known[block]
+                now, held, (odd, begin) = block, [], known[block]
                 header = block[1] == 0
-            held.append(line)
-            odd ^= line.count('"') % 2 == 1
-            if not odd:
-                done(False)
-            if len(rows) >= size:
-                yield pa.RecordBatch.from_pylist(rows, schema)
-                rows.clear()
+            inside = np.logical_xor.accumulate(quoted) ^ odd  # after each line
+            odd, last = bool(inside[-1]), np.flatnonzero(~inside)
+            if not len(last):
+                held += lines.to_pylist()
+                continue
+            first = np.concatenate([[0], last[:-1] + 1])
+            held += lines.slice(0, last[0] + 1).to_pylist()
+            if header:
+                header, pieces = False, []
+            elif begin is not None:
+                yield fragment(begin)
+                begin, pieces = None, []
+            else:
+                pieces = ["\n".join(held)]
+            one = first[1:] == last[1:]
+            if one.all():
+                found = pa.concat_arrays([pa.array(pieces, kind), lines.take(pa.array(last[1:]))])
+            else:
+                texts = lines.to_pylist()
+                found = pa.array(pieces + ["\n".join(texts[a:b + 1]) for a, b in zip(first[1:].tolist(), last[1:].tolist())], kind)
+            held = lines.slice(last[-1] + 1).to_pylist()
+            found = found.filter(pc.greater(pc.binary_length(found), 0))
+            if len(found):
+                yield rows(found)
         if held:
-            done(True)
-        if rows:
-            yield pa.RecordBatch.from_pylist(rows, schema)
+            yield fragment(begin)
     return run
 
 
@@ -172,10 +191,12 @@ def infer_types(df: DataFrame) -> dict[str, str]:
 
     bool if all are truth values; truth values with gaps or anything else are strings, and so are whole numbers beyond 64 bits. No rows: string.
     """
-    one = df.agg(*[F.coalesce(F.bit_or(_kind(F.col(f"`{c}`"))), F.lit(0)).alias(f"kinds_{i}") for i, c in enumerate(df.columns)]).first()
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{c}`") for c in df.columns])).alias("at", "cell")) if df.columns else None  # one small expression for all columns
+    rows = cells.groupBy("at").agg(F.bit_or(_kind(F.col("cell"))).alias("kinds")).collect() if df.columns else []  # a row a column
+    found = {r["at"]: r["kinds"] for r in rows}
     types = {}
     for i, c in enumerate(df.columns):
-        has = {k for j, k in enumerate(_KINDS) if one[i] >> j & 1}
+        has = {k for j, k in enumerate(_KINDS) if found.get(i, 0) >> j & 1}
         if not has or "string" in has or ("bool" in has and len(has) > 1):
             types[c] = "string"
         elif has == {"bool"} or has == {"int64"}:
