@@ -79,3 +79,27 @@ def test_no_rows(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a,b\n")
     got = read_csv_inferred(spark, str(tmp_path / "t.csv"))
     assert got.collect() == [] and dict(got.dtypes) == {"a": "string", "b": "string"}
+
+
+def test_documents_are_written_by_more_than_one_task(spark, tmp_path, monkeypatch):
+    from valuemill.plans import registry
+    text = 'a "quoted" line\nand, another\n'
+    spark.createDataFrame([(i, text * (i % 3)) for i in range(60)], "doc_id long, text string").repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(registry, "scratch_path", lambda *_: str(tmp_path / "csv"))
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task a file
+    try:
+        got = registry.q_csv_split_documents(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert sorted((r.doc_id, r.text) for r in got) == [(i, text * (i % 3)) for i in range(60)]
+    assert len(list((tmp_path / "csv").glob("*.csv"))) > 1
+
+
+def test_lines_of_one_record_each_stay_one_batch():
+    import pyarrow as pa
+    lines = ["a,b", *[f"{i},x" for i in range(5000)], '9,"y', 'z"']
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * len(lines)), pa.array([0] * len(lines)), pa.array(lines)], ["file", "start", "value"])
+    known = csv_split.starts([b for out in csv_split.block_quotes(iter([batch])) for b in out.to_pylist()])
+    found = list(csv_split._records(known)(iter([batch])))
+    assert len(found) == 1 and found[0].column(3).to_pylist() == [*lines[1:5001], '9,"y\nz"']

@@ -418,10 +418,10 @@ def q_csv_documents(spark, sf_dir):
 
 
 def q_csv_split_documents(spark, sf_dir):
-    """Texts with line breaks through one CSV file and back, the file read by its splits."""
+    """Texts with line breaks through CSV and back, one file for each split of the table, each file read by its own splits."""
     docs = _t(spark, sf_dir, "documents")
     path = scratch_path(spark, "csv-split-documents")
-    write_csv(docs.coalesce(1), path)
+    write_csv(docs, path)
     return read_csv_split(spark, path, docs.schema)
 
 
