@@ -1,0 +1,94 @@
+"""The registered search has the original budget, and ensembles that tasks grow alone are those of the shared scans."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from valuemill.boosting import Settings, bin_features, ensembles, fit, search, validate
+from valuemill.boosting import grow as G
+from valuemill.boosting import held as H
+from valuemill.plans import cars, flagship, lifecycle, train
+
+
+def test_the_champion_is_searched_with_the_original_budget(spark, monkeypatch):
+    ptr = spark.range(400).select(F.col("id").alias("l_orderkey"), F.lit(1).alias("l_linenumber"))
+    seen = {}
+    monkeypatch.setattr(flagship, "fitted_features", lambda *a: (None, ptr, ptr, []))
+    monkeypatch.setattr(lifecycle, "tune_and_record", lambda spark, runs, location, model_id, pipeline, training, testing, draws, folds, metric="mse":
+                        seen.update(folds=folds, draws=draws, metric=metric, dealt=training.select("fold").distinct().count()))
+    flagship._train_champion(spark, "/none")
+    assert seen["draws"] == train.draw_params("A") and len(seen["draws"]) == 50 and min(d["n_estimators"] for d in seen["draws"]) >= 100
+    assert seen["folds"] == train.FOLDS == seen["dealt"] == 5 and seen["metric"] == "mse"
+
+
+NAMES = [*[f"c{i}" for i in range(9)], "x", "z", "same", "gap"]
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    rng, rows = random.Random(4), []
+    for i in range(700):
+        c, x, z = rng.randrange(10), round(rng.gauss(0, 1), 2), rng.randrange(4)
+        rows.append((i, *[float(c == k) for k in range(9)], x, float(z), 1.0, rng.choice([None, float("nan"), 2.0, 3.0]), i % 3, c + 2.0 * (x > 0.3) * z + rng.random()))
+    data = spark.createDataFrame(rows, f"id long, {', '.join(f'{n} double' for n in NAMES)}, fold int, y double")
+    return bin_features(data.repartition(3), NAMES, "y", ["id"], "fold", bins=20)
+
+
+DRAWS = [Settings(trees=2, depth=3, rate=0.4, rows=0.7, columns=0.6, l1=0.5, l2=1.5, min_gain=0.3),
+         Settings(trees=2, depth=5, rate=0.2, l2=0.0, min_weight=3.0, seed=5),
+         Settings(trees=3, depth=1, rate=0.2, rows=1e-9)]
+
+
+def _same(a, b):
+    assert [t.feature.tolist() for t in a] == [t.feature.tolist() for t in b] and [t.bin.tolist() for t in a] == [t.bin.tolist() for t in b]
+    assert [t.value.tolist() for t in a] == [t.value.tolist() for t in b]
+
+
+def test_held_tables_give_the_trees_and_errors_of_shared_scans(table):
+    sums = G.bases(table)
+    alone, shared = ([G._started(s, k, sums) for s in DRAWS for k in (0, None, 9)] for _ in range(2))  # no row has fold 9
+    assert H.can_hold(table, 700, alone)
+    got, want = H.grow_held(table, alone), G.grow(table, shared, every=2)
+    assert {k: v for k, v in got.items() if v == v} == {k: v for k, v in want.items() if v == v} and len(got) == len(want) == len(alone)
+    for a, b in zip(alone, shared, strict=True):
+        if a.held_out is None:
+            _same(a.trees, b.trees)
+
+
+def test_searches_hold_small_tables_only(table, monkeypatch):
+    scans = []
+    monkeypatch.setattr(ensembles, "grow", lambda table, fits: scans.append(len(fits)) or {i: 1.0 for i in range(len(fits))})
+    errors, models = search(table, DRAWS, 3)
+    assert errors == validate(table, DRAWS, 3) and [m.to_json() for m in models] == [fit(table, s).to_json() for s in DRAWS] and not scans
+    validate(table, [Settings(trees=1, depth=2, symmetric=True)], 2)
+    validate(table, [Settings(trees=1, depth=2, temperature=1.0)], 2)
+    monkeypatch.setattr(H, "HELD_BYTES", 700 * (len(NAMES) + 20) - 1)
+    validate(table, DRAWS[:2], 3)
+    fit(table, DRAWS[0])
+    assert scans == [2, 2, 6, 1]
+
+
+def test_bundles_hold_each_features_bins():
+    rng = np.random.default_rng(2)
+    across = np.vstack([rng.integers(0, n, 900) for n in (65, 2, 1, 2, 40, 2, 7, 256)] + [np.zeros(900, int)]).astype(np.uint8)
+    one_of = rng.integers(0, 60, 900)
+    across = np.vstack([across, *[(one_of == k).astype(np.uint8) for k in range(59)]])
+    sizes = np.array([65, 2, 1, 2, 40, 2, 7, 256, 3] + [2] * 59)
+    bundles, codes = H.bundled(across, sizes)
+    assert sorted(f for b in bundles for f in b.features) == [f for f in range(len(sizes)) if sizes[f] > 1] and len(bundles) < 8
+    for b, own in zip(bundles, codes, strict=True):
+        assert b.bins.shape[1] <= 256
+        for f, bins in zip(b.features, b.bins, strict=True):
+            assert (bins[own] == across[f]).all()
+
+
+def test_tables_without_splits(spark):
+    data = spark.createDataFrame([(i, 1.0, float(i), 0) for i in range(5)], "id long, a double, y double, fold int")
+    table = bin_features(data, ["a"], "y", ["id"], "fold")
+    s = Settings(trees=2, depth=2, l2=1.0)
+    shared = G._started(s, None, G.bases(table))
+    G.grow(table, [shared])
+    _same(fit(table, s).trees, shared.trees)
+    assert np.isnan(validate(table, [s], 2)[0][1])  # no row has fold 1
